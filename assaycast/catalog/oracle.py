@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 READ = """r AS (
-  SELECT event_id, ts, date_trunc('hour', ts) AS hour_ts, user_id % 4 AS plant, event_type AS sensor, value,
+  SELECT event_id, ts, date_trunc('hour', ts) AS hour_ts, user_id // 40 AS plant, event_type AS sensor, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
   FROM events)"""
 
@@ -41,11 +41,6 @@ dq AS (
   UNION ALL SELECT batch, 'DQ05', n, n5, n5 = 0 FROM w
   UNION ALL SELECT batch, 'DQ04', n + dropped, dropped, true FROM w)"""
 
-LAB_ALL = READ + """, lab AS (
-  SELECT hour_ts, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS silica,
-         count(DISTINCT value) > 3 AS lab_is_interpolated
-  FROM r WHERE sensor = 'purchase' GROUP BY hour_ts)"""
-
 LAB = READ + """, lab AS (
   SELECT plant, hour_ts, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS silica,
          count(DISTINCT value) > 1 AS lab_is_interpolated
@@ -95,24 +90,29 @@ naive AS (
          (l.lab_lag1 + l.lab_lag2 + l.lab_lag3) / 3 AS predicted, a.silica AS actual
   FROM lags l LEFT JOIN masked a ON a.plant = l.plant AND a.hour_ts = l.hour_ts)"""
 
-FLAT = """f0 AS (
-  SELECT *, floor(value / 50) AS level, row_number() OVER (PARTITION BY sensor ORDER BY event_id) AS i FROM r),
+def _flags(keys: str) -> str:
+    return f"""f0 AS (
+  SELECT *, floor(value / 50) AS level, row_number() OVER (PARTITION BY {keys} ORDER BY event_id) AS i FROM r),
 f1 AS (
   SELECT *, count(*) OVER w = 6 AND stddev_samp(level) OVER w < 1e-6 AS flat_end
-  FROM f0 WINDOW w AS (PARTITION BY sensor ORDER BY i ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)),
+  FROM f0 WINDOW w AS (PARTITION BY {keys} ORDER BY i ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)),
 f2 AS (
   SELECT *, max(CAST(flat_end AS INTEGER)) OVER (
-    PARTITION BY sensor ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) = 1 AS is_flat
+    PARTITION BY {keys} ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) = 1 AS is_flat
   FROM f1),
 f3 AS (
   SELECT *, coalesce(count(value) OVER w = 90
     AND abs(value - avg(value) OVER w) / nullif(stddev_samp(value) OVER w, 0) > 4, false) AS is_spike
-  FROM f2 WINDOW w AS (PARTITION BY sensor ORDER BY i ROWS BETWEEN 90 PRECEDING AND 1 PRECEDING))"""
+  FROM f2 WINDOW w AS (PARTITION BY {keys} ORDER BY i ROWS BETWEEN 90 PRECEDING AND 1 PRECEDING))"""
+
+
+FLAT = _flags("sensor")
+FLAT_PLANT = _flags("plant, sensor")
 
-HEALTH = READ + ", " + FLAT + """, hc AS (
-  SELECT sensor, hour_ts, count(*) AS row_count, count(*) FILTER (is_flat) AS flatline_rows,
+HEALTH = READ + ", " + FLAT_PLANT + """, hc AS (
+  SELECT plant, sensor, hour_ts, count(*) AS row_count, count(*) FILTER (is_flat) AS flatline_rows,
          count(*) FILTER (value < 0 OR value > 200) AS out_of_range_rows, count(*) FILTER (is_spike) AS spike_rows
-  FROM f3 GROUP BY sensor, hour_ts),
+  FROM f3 GROUP BY plant, sensor, hour_ts),
 health AS (
   SELECT *, flatline_rows > 0 AS is_flatline, out_of_range_rows > 0 AS is_out_of_range, spike_rows > 0 AS has_spike
   FROM hc)"""
@@ -179,7 +179,7 @@ FROM n GROUP BY plant, hour_ts""",
     "completeness": f"""WITH {READ}
 SELECT hour_ts, count(*) AS row_count, round(count(*) * 100.0::DOUBLE / 14, 8) AS completeness_pct,
   count(*) * 100.0::DOUBLE / 14 >= 80 AS is_trainable FROM r GROUP BY hour_ts""",
-    "lab_hourly_interpolated": f"WITH {LAB_ALL} SELECT * FROM lab",
+    "lab_hourly_interpolated": f"WITH {LAB} SELECT * FROM lab",
     "feed_hourly": f"WITH {READ}, {FEED} SELECT * FROM feed",
     "flatline": f"WITH {READ}, {FLAT} SELECT event_id, sensor, hour_ts FROM f2 WHERE is_flat",
     "spike": f"WITH {READ}, {FLAT} SELECT event_id, sensor, hour_ts, value FROM f3 WHERE is_spike",
@@ -188,19 +188,19 @@ SELECT hour_ts, count(*) AS row_count, round(count(*) * 100.0::DOUBLE / 14, 8) A
 SELECT event_id, sensor, value FROM r JOIN dim USING (sensor) WHERE value < lo OR value > hi""",
     "sensor_health": f"WITH {HEALTH} SELECT * FROM health",
     "current_issues": f"""WITH {HEALTH}
-SELECT hour_ts, sensor, is_flatline, is_out_of_range, has_spike FROM health
+SELECT plant, hour_ts, sensor, is_flatline, is_out_of_range, has_spike FROM health
 WHERE is_flatline OR is_out_of_range OR has_spike""",
     "health_heatmap": f"""WITH {HEALTH}
 SELECT sensor, CAST(hour_ts AS DATE) AS day, count(*) FILTER (is_flatline) AS flatline_hours,
   count(*) FILTER (is_out_of_range) AS out_of_range_hours, count(*) FILTER (has_spike) AS spike_hours
 FROM health GROUP BY ALL""",
     "hour_confidence": f"""WITH {HEALTH}
-SELECT hour_ts, count(*) FILTER (sensor IN ('click', 'view') AND (is_flatline OR is_out_of_range OR has_spike))
-  AS bad_key_sensors FROM health GROUP BY hour_ts""",
-    "control_chart": f"""WITH {LAB_ALL}, c AS (
+SELECT plant, hour_ts, count(*) FILTER (sensor IN ('click', 'view') AND (is_flatline OR is_out_of_range OR has_spike))
+  AS bad_key_sensors FROM health GROUP BY plant, hour_ts""",
+    "control_chart": f"""WITH {LAB}, c AS (
   SELECT avg(silica) - 2 * stddev_samp(silica) AS lower, avg(silica) + 2 * stddev_samp(silica) AS upper
   FROM lab WHERE hour_ts < TIMESTAMP '2024-01-19')
-SELECT hour_ts, silica, round(lower, 6) AS lower, round(upper, 6) AS upper, silica < lower OR silica > upper AS is_breach
+SELECT plant, hour_ts, silica, round(lower, 6) AS lower, round(upper, 6) AS upper, silica < lower OR silica > upper AS is_breach
 FROM lab, c""",
     "gap_islands": f"""WITH {LAB}, n AS (
   SELECT plant, hour_ts, lead(hour_ts) OVER (PARTITION BY plant ORDER BY hour_ts) AS nxt FROM lab)
@@ -354,13 +354,13 @@ FROM naive, cut WHERE target_hour >= TIMESTAMP '2024-01-05' AND target_hour < TI
 SELECT plant, hour_ts, target_hour, predicted,
   CASE WHEN target_hour + INTERVAL 1 HOUR <= TIMESTAMP '2024-01-20 10:00:00' THEN actual END AS actual
 FROM pairs WHERE horizon_h = 0 AND hour_ts <= TIMESTAMP '2024-01-20 10:00:00'""",
-    "quality_now": f"""WITH {LAB}, {FLAT}, hc AS (
-  SELECT hour_ts, count(DISTINCT sensor) FILTER (sensor IN ('click', 'view')
-    AND (is_flat OR is_spike OR value < 0 OR value > 200)) AS bad FROM f3 GROUP BY hour_ts),
+    "quality_now": f"""WITH {LAB}, {FLAT_PLANT}, hc AS (
+  SELECT plant, hour_ts, count(DISTINCT sensor) FILTER (sensor IN ('click', 'view')
+    AND (is_flat OR is_spike OR value < 0 OR value > 200)) AS bad FROM f3 GROUP BY plant, hour_ts),
 p AS (SELECT plant, max(hour_ts) AS h, arg_max(silica, hour_ts) AS predicted FROM known GROUP BY plant)
 SELECT p.plant, h + INTERVAL 1 HOUR AS hour_ts, predicted, predicted AS lab_value, h AS lab_hour,
   CASE WHEN coalesce(bad, 1) > 0 THEN 'reduced' ELSE 'normal' END AS confidence, predicted > threshold AS pred_off_spec
-FROM p CROSS JOIN cut LEFT JOIN hc ON hc.hour_ts = h + INTERVAL 1 HOUR""",
+FROM p CROSS JOIN cut LEFT JOIN hc ON hc.plant = p.plant AND hc.hour_ts = h + INTERVAL 1 HOUR""",
     "reagent_view": f"""WITH {LAB}, {WIDE}
 SELECT plant, hour_ts, click_mean, silica FROM wide JOIN known USING (plant, hour_ts)""",
     "replay_stream_hourly": f"""WITH {READ}

@@ -44,12 +44,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
 
 
+def plant_of(user: str):
+    """Forty users make a plant, so that the number of plants grows with the data."""
+    return F.floor(F.col(user) / 40)
+
+
 def readings(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
         "event_id",
         "ts",
         fc.trunc_hour("ts").alias(HOUR),
-        (F.col("user_id") % 4).alias("plant"),
+        plant_of("user_id").alias("plant"),
         F.col("event_type").alias("sensor"),
         "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
@@ -168,19 +173,14 @@ def completeness(spark, sf):
     return hr.completeness(per_hour, 14, 80).withColumn("completeness_pct", F.round("completeness_pct", 8))
 
 
-def lab_all(spark, sf):
-    """Hourly assay over all plants; an hour counts as interpolated above three values."""
-    lab = readings(spark, sf).where("sensor = 'purchase'").withColumnRenamed("value", "silica")
-    return hr.lab_hourly(lab, [HOUR], ["silica"], 3, scale=2)
-
-
 def lab_plant(spark, sf):
+    """Hourly assay per plant; an hour with several values counts as interpolated."""
     lab = readings(spark, sf).where("sensor = 'purchase'").withColumnRenamed("value", "silica")
     return hr.lab_hourly(lab, ["plant", HOUR], ["silica"], 1, scale=2)
 
 
 def lab_hourly_interpolated(spark, sf):
-    return lab_all(spark, sf)
+    return lab_plant(spark, sf)
 
 
 def feed_hourly(spark, sf):
@@ -230,10 +230,10 @@ def health_rows(spark, sf):
     order, chunk = order_and_chunk()
     rows = readings(spark, sf).withColumn("level", F.floor(F.col("value") / 50).cast("double"))
     out = hl.row_flags(
-        rows.withColumnRenamed("sensor", "series"), ["series"], ["value", "level"], order, chunk, flat_rows=6
+        rows.withColumnRenamed("sensor", "series"), ["plant", "series"], ["value", "level"], order, chunk, flat_rows=6
     )
     out = out.withColumn("value_flat", F.col("level_flat"))
-    hourly = hl.hourly_health(out, ["series", HOUR], ["value"], {"value": (0, 200)})
+    hourly = hl.hourly_health(out, ["plant", "series", HOUR], ["value"], {"value": (0, 200)})
     return hourly.drop("sensor").withColumnRenamed("series", "sensor")
 
 
@@ -242,7 +242,9 @@ def sensor_health(spark, sf):
 
 
 def current_issues(spark, sf):
-    return rp.current_issues(health_rows(spark, sf)).select(HOUR, "sensor", "is_flatline", "is_out_of_range", "has_spike")
+    return rp.current_issues(health_rows(spark, sf)).select(
+        "plant", HOUR, "sensor", "is_flatline", "is_out_of_range", "has_spike"
+    )
 
 
 def health_heatmap(spark, sf):
@@ -250,14 +252,14 @@ def health_heatmap(spark, sf):
 
 
 def hour_confidence(spark, sf):
-    return hl.hour_confidence(health_rows(spark, sf), ["click", "view"], [HOUR])
+    return hl.hour_confidence(health_rows(spark, sf), ["click", "view"], ["plant", HOUR])
 
 
 def control_chart(spark, sf):
-    lab = lab_all(spark, sf).select(HOUR, "silica")
+    lab = lab_plant(spark, sf).select("plant", HOUR, "silica")
     chart = hl.control_chart(lab, lab.where(fc.split_label(HOUR, SPLIT) == "train"), "silica", 2.0)
     return chart.select(
-        HOUR, "silica", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"), "is_breach"
+        "plant", HOUR, "silica", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"), "is_breach"
     )
 
 
@@ -543,9 +545,7 @@ def replay_as_of(spark, sf):
 def quality_now(spark, sf):
     lab = masked_lab(spark, sf)
     pred = ft.persistence(lab, ["plant"], "silica", DELAY, [0])
-    conf = hl.hour_confidence(health_rows(spark, sf), ["click", "view"], [HOUR])
-    # the health of a sensor counts for each of the four plants
-    conf = conf.withColumn("plant", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
+    conf = hl.hour_confidence(health_rows(spark, sf), ["click", "view"], ["plant", HOUR])
     return rp.quality_now(pred, lab, conf, limit(spark, sf), ["plant"], "silica", DELAY).select(
         "plant", HOUR, "predicted", "lab_value", "lab_hour", "confidence", "pred_off_spec"
     )
@@ -658,7 +658,7 @@ def conformal_interval(spark, sf):
 def event_stream(spark, sf):
     schema = table(spark, sf, "events").schema
     return st.replay_stream(spark, sf, schema, glob="events.parquet").select(
-        "event_id", "ts", (F.col("user_id") % 4).alias("plant"), F.col("event_type").alias("sensor"), "value"
+        "event_id", "ts", plant_of("user_id").alias("plant"), F.col("event_type").alias("sensor"), "value"
     )
 
 

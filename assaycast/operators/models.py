@@ -7,8 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,25 +36,45 @@ class Fitted:
         return self.pipeline.stages[-1]
 
 
+def packed(columns: Sequence[str]) -> Column:
+    """The inputs as one array: plans stay small however many features there are."""
+    return F.expr(f"array({', '.join(f'CAST(`{c}` AS DOUBLE)' for c in columns)})")
+
+
 def training_means(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Mean of each usable column (one row; columns never seen in training are dropped)."""
-    row = train.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    return {c: float(row[c]) for c in columns if row[c] is not None}
+    """Mean of each usable column (one small row per column; columns never seen in training drop out)."""
+    long = train.select(F.posexplode(packed(columns)).alias("i", "x"))
+    rows = long.groupBy("i").agg(F.avg("x").alias("m")).collect()
+    means = {r["i"]: r["m"] for r in rows}
+    return {c: float(means[i]) for i, c in enumerate(columns) if means.get(i) is not None}
+
+
+def _literal(values: Sequence) -> Column:
+    """An array constant, parsed from one text: hundreds of single literals are slow to build."""
+
+    def text(v) -> str:
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{v!r}D" if isinstance(v, float) else repr(v)
+
+    return F.expr(f"array({', '.join(text(v) for v in values)})")
+
+
+def _complete(means: dict[str, float]) -> Column:
+    """Input array in which missing entries take the mean of the training rows."""
+    return F.zip_with(packed(list(means)), _literal(list(means.values())), lambda x, m: F.coalesce(x, m))
 
 
 def filled(df: DataFrame, means: dict[str, float]) -> DataFrame:
-    """Missing inputs take the mean of the training rows."""
-    return df.withColumns({f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in means.items()})
+    """Add the model input vector."""
+    return df.withColumn("features", array_to_vector(_complete(means)))
 
 
 def _fit(name: str, train: DataFrame, columns: Sequence[str], estimator, params: dict) -> Fitted:
     train = train.where(F.col("target").isNotNull())
     means = training_means(train, columns)
-    used = list(means)
-    assembler = VectorAssembler(inputCols=[f"_x_{c}" for c in used], outputCol="features")
-    inputs = filled(train, means).select("target", *[f"_x_{c}" for c in used])
-    model = Pipeline(stages=[assembler, estimator]).fit(inputs)
-    return Fitted(name, model, used, means, params)
+    model = Pipeline(stages=[estimator]).fit(filled(train, means).select("target", "features"))
+    return Fitted(name, model, list(means), means, params)
 
 
 def fit_ridge(train: DataFrame, columns: Sequence[str], reg: float = 1.0) -> Fitted:
@@ -167,21 +186,23 @@ def conformal(val: DataFrame, test: DataFrame, level: float = 0.8, pred: str = "
 
 
 def linear_contributions(
-    df: DataFrame, keys: Sequence[str], weights: dict[str, float], means: dict[str, float]
+    df: DataFrame, keys: Sequence[str], weights: dict[str, float], means: dict[str, float],
+    groups: dict[str, list[str]] | None = None,
 ) -> DataFrame:
-    """weight x (value - mean) per feature: the exact Shapley value of a linear model. Long form."""
-    parts = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                (F.lit(float(w)) * (F.coalesce(F.col(c).cast("double"), F.lit(means[c])) - F.lit(means[c]))).alias(
-                    "contribution"
-                ),
-            )
-            for c, w in weights.items()
-        ]
-    )
-    return df.select(*keys, F.explode(parts).alias("p")).select(*keys, "p.feature", "p.contribution")
+    """weight x (value - mean) per feature: the exact Shapley value of a linear model. Long form.
+
+    With ``groups`` the values of a group's features are added up; without, each feature stands alone.
+    """
+    names = list(weights)
+    used = {c: means[c] for c in names}
+    off = F.zip_with(_complete(used), _literal(list(used.values())), lambda x, m: x - m)
+    parts = F.zip_with(off, _literal([float(weights[c]) for c in names]), lambda d, w: w * d)
+    long = df.select(*keys, F.posexplode(parts).alias("_i", "contribution"))
+    if groups is None:
+        return long.select(*keys, F.get(_literal(names), F.col("_i")).alias("feature"), "contribution")
+    owner = {c: g for g, cols in groups.items() for c in cols}
+    feature = F.get(_literal([owner[c] for c in names]), F.col("_i")).alias("feature")
+    return long.groupBy(*keys, feature).agg(F.sum("contribution").alias("contribution"))
 
 
 def ridge_weights(fitted: Fitted) -> dict[str, float]:
@@ -207,22 +228,22 @@ def group_contributions(
         rng.shuffle(order)
         orders.append({g: i + 1 for i, g in enumerate(order)})
         steps += [(p, s) for s in range(len(names) + 1)]
-    grid = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p, s in steps])
-    rows = feat.select(*keys, *fitted.columns, F.explode(grid).alias("_g"))
-    group_of = {c: g for g, cols in groups.items() for c in cols}
-
-    def shown(c: str) -> Column:
-        g = group_of.get(c)
-        value = F.coalesce(F.col(c).cast("double"), F.lit(fitted.means[c]))
-        if g is None:
-            return value
-        on = [(F.col("_g.p") == p) & (F.col("_g.s") >= pos[g]) for p, pos in enumerate(orders)]
-        test = on[0]
-        for o in on[1:]:
-            test = test | o
-        return F.when(test, value).otherwise(F.lit(fitted.means[c]))
-
-    inputs = rows.select(*keys, "_g", *[shown(c).alias(f"_x_{c}") for c in fitted.columns])
+    place = [[pos[g] for g in names] for pos in orders]
+    grid = F.array(
+        *[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s"), _literal(place[p]).alias("pos")) for p, s in steps]
+    )
+    group_of = {c: names.index(g) for g, cols in groups.items() for c in cols}
+    # columns outside all groups always show the row's value
+    owner = _literal([group_of.get(c, -1) for c in fitted.columns])
+    rows = feat.select(*keys, _complete(fitted.means).alias("_x"), F.explode(grid).alias("_g"))
+    tagged = F.zip_with("_x", owner, lambda x, g: F.struct(x.alias("x"), g.alias("g")))
+
+    def shown(entry: Column, mean: Column) -> Column:
+        here = (entry["g"] < 0) | (F.get(F.col("_g.pos"), entry["g"]) <= F.col("_g.s"))
+        return F.when(here, entry["x"]).otherwise(mean)
+
+    mixed = F.zip_with(tagged, _literal(list(fitted.means.values())), shown)
+    inputs = rows.select(*keys, "_g", array_to_vector(mixed).alias("features"))
     scored = fitted.pipeline.transform(inputs).select(*keys, "_g", "prediction")
 
     def share(g: str) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,11 +44,12 @@ class Tables:
         return bool(self.cfg.catalog.name)
 
     def exists(self, layer: str, name: str) -> bool:
-        try:
-            self.read(layer, name)
-            return True
-        except AnalysisException:
-            return False
+        ref = self.ref(layer, name)
+        if self.by_name:
+            return self.spark.catalog.tableExists(ref)
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(ref)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
     def read(self, layer: str, name: str) -> DataFrame:
         ref = self.ref(layer, name)
