@@ -69,19 +69,19 @@ def hourly_stats(
     centres = {}
     for v in values:
         n = F.col(f"_n_{v}")
-        centres[f"_M_{v}"] = F.try_divide(F.sum(n * F.col(f"_m_{v}")).over(whole), F.sum(n).over(whole))
+        centres[f"_all_{v}"] = F.try_divide(F.sum(n * F.col(f"_m_{v}")).over(whole), F.sum(n).over(whole))
         if "slope" in aggregates:
             x = F.col(f"_mx_{v}") + F.col("_before")
-            centres[f"_X_{v}"] = F.try_divide(F.sum(n * x).over(whole), F.sum(n).over(whole))
+            centres[f"_allx_{v}"] = F.try_divide(F.sum(n * x).over(whole), F.sum(n).over(whole))
     merged = shifted.withColumns(centres)
 
     out = [F.sum("_rows").alias("row_count")]
     for v in values:
         n = F.col(f"_n_{v}")
-        dv = F.col(f"_m_{v}") - F.col(f"_M_{v}")
+        dv = F.col(f"_m_{v}") - F.col(f"_all_{v}")
         total = F.sum(n)
         if "mean" in aggregates:
-            out.append(F.max(f"_M_{v}").alias(f"{v}_mean"))
+            out.append(F.max(f"_all_{v}").alias(f"{v}_mean"))
         if "std" in aggregates:
             spread = F.sum(n * F.col(f"_v_{v}") + n * dv * dv)
             out.append(F.when(total > 1, F.sqrt(spread / (total - 1))).alias(f"{v}_std"))
@@ -96,7 +96,7 @@ def hourly_stats(
             mean = F.try_divide(F.sum(add), F.sum(F.size(seen)))
             out.append(mean.alias(f"{v}_last_15min_mean"))
         if "slope" in aggregates:
-            dx = F.col(f"_mx_{v}") + F.col("_before") - F.col(f"_X_{v}")
+            dx = F.col(f"_mx_{v}") + F.col("_before") - F.col(f"_allx_{v}")
             cov = F.sum(n * F.col(f"_c_{v}") + n * dv * dx)
             var = F.sum(n * F.col(f"_vx_{v}") + n * dx * dx)
             out.append(F.when(var > 0, cov / var).alias(f"{v}_slope"))

@@ -74,7 +74,7 @@ def coverage(df: DataFrame, by: Sequence[str] = (), low: str = "p10", high: str
     inside = F.col(actual).between(F.col(low), F.col(high))
     return known.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("n_inside"),
-        (F.count_if(inside) / F.count(F.lit(1))).alias("coverage"),
+        F.try_divide(F.count_if(inside), F.count(F.lit(1))).alias("coverage"),
     )
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -20,6 +21,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
