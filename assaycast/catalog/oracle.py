@@ -369,8 +369,10 @@ SELECT sensor, hour_ts, count(*) AS row_count, CAST(sum(CAST(value AS DECIMAL(20
 FROM r GROUP BY sensor, hour_ts
 HAVING hour_ts + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
     "stream_dedup": f"WITH {READ} SELECT DISTINCT hour_ts, sensor, CAST(floor(value) AS BIGINT) AS level FROM r",
-    "stream_join_labs": f"""WITH {READ}
-SELECT p.plant, p.event_id AS pred_id, l.event_id AS lab_id, l.value AS actual
-FROM r p JOIN r l ON p.plant = l.plant AND l.ts >= p.ts AND l.ts <= p.ts + INTERVAL 1 HOUR
-WHERE p.sensor = 'error' AND l.sensor = 'purchase'""",
+    "stream_join_labs": f"""WITH {READ}, p AS (
+  SELECT plant, hour_ts, max(value) AS predicted FROM r WHERE sensor = 'error' GROUP BY ALL),
+l AS (SELECT plant, hour_ts, max(value) AS actual FROM r WHERE sensor = 'purchase' GROUP BY ALL),
+w AS (SELECT least(max(ts) FILTER (sensor = 'error'), max(ts) FILTER (sensor = 'purchase')) - INTERVAL 1 HOUR AS mark FROM r)
+SELECT plant, hour_ts, predicted, actual FROM p JOIN l USING (plant, hour_ts), w
+WHERE hour_ts + INTERVAL 1 HOUR <= mark""",
 }

@@ -688,15 +688,13 @@ def stream_dedup(spark, sf):
 
 
 def stream_join_labs(spark, sf):
-    """Readings of the sensor 'error' as predictions, purchases of the same plant in the hour after."""
+    """Hourly maximum of 'error' as the prediction, of 'purchase' as its lab value."""
     t, progress = stream_table(spark, "labs")
     both = event_stream(spark, sf)
-    pred = both.where("sensor = 'error'").select("plant", F.col("event_id").alias("pred_id"), F.col("ts").alias("pred_ts"))
-    lab = both.where("sensor = 'purchase'").select(
-        "plant", F.col("event_id").alias("lab_id"), F.col("ts").alias("lab_ts"), F.col("value").alias("actual")
+    joined = st.stream_join_labs(
+        both.where("sensor = 'error'"), both.where("sensor = 'purchase'"), ["plant"], "ts", "value"
     )
-    joined = st.stream_join_labs(pred, lab, ["plant"], "pred_ts", "lab_ts", 1).select("p.plant", "pred_id", "lab_id", "actual")
-    st.run_to_end(joined, st.upsert_batch(t, "gold", "pairs", ["pred_id", "lab_id"]), progress)
+    st.run_to_end(joined, st.upsert_batch(t, "gold", "pairs", ["plant", HOUR]), progress)
     return t.read("gold", "pairs")
 
 

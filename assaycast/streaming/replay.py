@@ -49,15 +49,20 @@ def stream_dedup(sdf: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 h
 
 
 def stream_join_labs(
-    pred: DataFrame, lab: DataFrame, keys: Sequence[str], pred_ts: str, lab_ts: str, hours: int, delay: str = "1 hour"
+    pred: DataFrame, lab: DataFrame, keys: Sequence[str], ts: str, value: str, delay: str = "1 hour"
 ) -> DataFrame:
-    """Predictions meet the labs that arrive up to ``hours`` later; both sides bounded by watermarks."""
-    p = pred.withColumn(pred_ts, event_time(pred_ts)).withWatermark(pred_ts, delay).alias("p")
-    r = lab.withColumn(lab_ts, event_time(lab_ts)).withWatermark(lab_ts, delay).alias("l")
-    cond = F.expr(f"l.{lab_ts} >= p.{pred_ts} AND l.{lab_ts} <= p.{pred_ts} + INTERVAL {int(hours)} HOURS")
-    for k in keys:
-        cond = cond & (F.col(f"p.{k}") == F.col(f"l.{k}"))
-    return p.join(r, cond)
+    """Hourly predictions meet the lab value of the same hour, whichever comes later.
+
+    Both sides are reduced to one row per key and hour before the join, so a key never multiplies;
+    the hour windows bound the state through the watermarks.
+    """
+
+    def by_hour(sdf: DataFrame, name: str) -> DataFrame:
+        timed = sdf.withColumn(ts, event_time(ts)).withWatermark(ts, delay)
+        return timed.groupBy(F.window(ts, "1 hour"), *keys).agg(F.max(value).alias(name))
+
+    joined = by_hour(pred, "predicted").join(by_hour(lab, "actual"), ["window", *keys])
+    return joined.select(*keys, F.col("window.start").cast("timestamp_ntz").alias("hour_ts"), "predicted", "actual")
 
 
 def upsert_batch(

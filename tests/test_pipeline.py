@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assaycast.config import RAW_HEADER
 from assaycast.operators import features as ft
 from assaycast.operators import quality as ql
+from assaycast.plans import pages
 from assaycast.plans import pipeline as pl
 from assaycast.sources.tables import Tables
 
@@ -125,6 +126,33 @@ def test_drift_of_top_features(spark, run):
     assert out and all(r["psi"] >= 0 for r in out)
 
 
+def test_pages(spark, run):
+    cfg, *_ = run
+    now = pages.quality_now(spark, cfg).collect()
+    assert len(now) == 1 and now[0]["lab_value"] is not None and now[0]["lab_hour"] < now[0]["hour_ts"]
+    shifts = {r["shift"] for r in pages.trends(spark, cfg, "2017-03-05", "2017-03-06", "B").collect()}
+    assert shifts == {"B"}
+    importance, tops, reagents = pages.drivers(spark, cfg)
+    assert importance.count() > 19 and tops.count() == 479 and 0 < reagents.count() < 479
+    heat, issues = pages.sensor_issues(spark, cfg)
+    assert heat.count() > 0 and issues.where("is_out_of_range").count() >= 2
+    last, rate, rolling = pages.pipeline_health(spark, cfg)
+    assert last.count() == 8 and rate.count() >= 5 and rolling.count() > 100
+    seen = pages.replay_as_of(spark, cfg, "2017-03-10 10:00:00")
+    assert seen.where("actual IS NOT NULL AND target_hour > '2017-03-10 09:00:00'").isEmpty()
+    assert pages.shift_comparison(spark, cfg).count() == 3
+    assert pages.monitor(spark, cfg).first()["retrain_needed"] in (True, False)
+
+
+def test_scale_replicas_never_reach_a_model(spark, run):
+    cfg, *_ = run
+    t = Tables(spark, cfg)
+    out = {r["plants"]: r["rows_out"] for r in pages.scale_test(spark, cfg, (1, 3)).collect()}
+    assert out[3] == 3 * out[1]
+    assert t.read("gold", "dim_plant").where("is_synthetic").count() == 2
+    assert pl.feature_table(t, cfg).select("plant_key").distinct().collect() == [(1,)]
+
+
 def test_loading_instead_of_training(spark, run):
     cfg, *_ = run
     assert pl.train_or_load_model(spark, cfg, retrain=False)[2] == {"action": "loaded"}
