@@ -28,7 +28,7 @@ from assaycast.operators.segments import chunk_of
 from assaycast.plans import reports as rp
 from assaycast.session import scratch_dir
 from assaycast.sources import raw
-from assaycast.sources.tables import Tables, merge_rows
+from assaycast.sources.tables import Tables, cut_lineage, merge_rows
 from assaycast.streaming import replay as st
 
 CHUNK = 500_000
@@ -256,7 +256,7 @@ def hour_confidence(spark, sf):
 
 
 def control_chart(spark, sf):
-    lab = lab_plant(spark, sf).select("plant", HOUR, "silica")
+    lab = cut_lineage(lab_plant(spark, sf).select("plant", HOUR, "silica"), "lab")
     chart = hl.control_chart(lab, lab.where(fc.split_label(HOUR, SPLIT) == "train"), "silica", 2.0)
     return chart.select(
         "plant", HOUR, "silica", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"), "is_breach"
@@ -338,6 +338,11 @@ def masked_lab(spark, sf):
     return ft.mask_interpolated(lab_plant(spark, sf), ["silica"])
 
 
+def stored_lab(spark, sf):
+    """The masked lab table, written once: reports read it several times, the readings only once."""
+    return cut_lineage(masked_lab(spark, sf), "lab")
+
+
 def sensor_lags(spark, sf):
     base = wide_hourly(spark, sf).select("plant", HOUR, "click_mean", "view_mean")
     return ft.lagged(base, ["plant"], ["click_mean", "view_mean"], [1, 2, 3])
@@ -352,21 +357,19 @@ def horizon_targets(spark, sf):
     return ft.with_targets(feat, masked_lab(spark, sf), ["plant"], "silica", HORIZONS)
 
 
-def persist_pairs(spark, sf):
+def persist_pairs(lab):
     """Persistence forecasts beside their actual value."""
-    lab = masked_lab(spark, sf)
     pred = ft.persistence(lab, ["plant"], "silica", DELAY, HORIZONS)
     return rp.with_actuals(pred, lab, ["plant"], "silica")
 
 
 def persistence_metrics(spark, sf):
-    out = mt.error_metrics(persist_pairs(spark, sf), ["horizon_h"])
+    out = mt.error_metrics(persist_pairs(stored_lab(spark, sf)), ["horizon_h"])
     return out.select("horizon_h", "n", F.round("mae", 8).alias("mae"), F.round("rmse", 8).alias("rmse"))
 
 
-def naive_pairs(spark, sf):
+def naive_pairs(lab):
     """A second forecast, the mean of the three lab lags, beside persistence and actual."""
-    lab = masked_lab(spark, sf)
     lags = ft.lab_lags(lab, ["plant"], "silica", DELAY, [1, 2, 3])
     mean = (F.col("lab_lag1") + F.col("lab_lag2") + F.col("lab_lag3")) / 3
     pred = ft.at_horizons(lags.select("plant", HOUR, F.col("lab_lag1").alias("persistence"), mean.alias("predicted")), [0])
@@ -374,13 +377,13 @@ def naive_pairs(spark, sf):
 
 
 def persistence_skill(spark, sf):
-    out = mt.skill(naive_pairs(spark, sf))
+    out = mt.skill(naive_pairs(stored_lab(spark, sf)))
     return out.select("n", *[F.round(c, 8).alias(c) for c in ("mae", "rmse", "persistence_mae", "skill")])
 
 
 def lab_asof(spark, sf):
     spine = cal.hour_spine(readings(spark, sf), ["plant"])
-    return ft.lab_visible(spine, masked_lab(spark, sf), ["plant"], "silica", DELAY)
+    return ft.lab_visible(spine, stored_lab(spark, sf), ["plant"], "silica", DELAY)
 
 
 def small_config() -> Config:
@@ -436,16 +439,12 @@ def replica_hourly(spark, sf):
 # ---- measures -----------------------------------------------------------------------------
 
 
-def train_lab(spark, sf):
-    return masked_lab(spark, sf).where(fc.split_label(HOUR, SPLIT) == "train")
-
-
-def limit(spark, sf):
-    return mt.threshold(train_lab(spark, sf), "silica", 75)
+def limit(lab):
+    return mt.threshold(lab.where(fc.split_label(HOUR, SPLIT) == "train"), "silica", 75)
 
 
 def off_spec_threshold(spark, sf):
-    return limit(spark, sf).select(F.round("threshold", 9).alias("threshold"))
+    return limit(stored_lab(spark, sf)).select(F.round("threshold", 9).alias("threshold"))
 
 
 def sensor_quantiles(spark, sf):
@@ -455,7 +454,8 @@ def sensor_quantiles(spark, sf):
 
 
 def lab_flagged(spark, sf):
-    return mt.with_off_spec(masked_lab(spark, sf).where("silica IS NOT NULL"), limit(spark, sf), "silica")
+    lab = stored_lab(spark, sf)
+    return mt.with_off_spec(lab.where("silica IS NOT NULL"), limit(lab), "silica")
 
 
 def off_spec_by_shift(spark, sf):
@@ -467,15 +467,16 @@ def shift_comparison(spark, sf):
 
 
 def off_spec_pr(spark, sf):
-    pairs = persist_pairs(spark, sf).where("horizon_h = 0")
-    cut = limit(spark, sf)
+    lab = stored_lab(spark, sf)
+    pairs = persist_pairs(lab).where("horizon_h = 0")
+    cut = limit(lab)
     flagged = mt.with_off_spec(mt.with_off_spec(pairs, cut, "predicted", "pred_off_spec"), cut, "actual")
     return mt.off_spec_pr(flagged)
 
 
 def coverage(spark, sf):
-    pairs = persist_pairs(spark, sf).where("horizon_h = 0 AND predicted IS NOT NULL AND actual IS NOT NULL")
-    label = pairs.withColumn("split", fc.split_label("target_hour", SPLIT))
+    pairs = persist_pairs(stored_lab(spark, sf)).where("horizon_h = 0 AND predicted IS NOT NULL AND actual IS NOT NULL")
+    label = cut_lineage(pairs.withColumn("split", fc.split_label("target_hour", SPLIT)), "pairs")
     band = md.conformal(label.where("split = 'val'"), label.where("split = 'test'"))
     return mt.coverage(band)
 
@@ -487,7 +488,7 @@ def psi(spark, sf):
 
 
 def rolling_mae(spark, sf):
-    pairs = persist_pairs(spark, sf).where("horizon_h = 0")
+    pairs = persist_pairs(stored_lab(spark, sf)).where("horizon_h = 0")
     out = mt.rolling_mae(pairs, ["plant"], 168, "target_hour")
     return out.withColumn("rolling_mae", F.round("rolling_mae", 8))
 
@@ -527,15 +528,15 @@ def global_importance(spark, sf):
 
 
 def trends(spark, sf):
-    lab = masked_lab(spark, sf)
-    pairs = naive_pairs(spark, sf).drop("actual", "persistence")
+    lab = stored_lab(spark, sf)
+    pairs = naive_pairs(lab).drop("actual", "persistence")
     base = ft.persistence(lab, ["plant"], "silica", DELAY, [0])
-    out = rp.trends(pairs, lab, base, limit(spark, sf), ["plant"], "silica", "2024-01-05", "2024-01-25", "B")
+    out = rp.trends(pairs, lab, base, limit(lab), ["plant"], "silica", "2024-01-05", "2024-01-25", "B")
     return out.withColumn("predicted", F.round("predicted", 8))
 
 
 def replay_as_of(spark, sf):
-    lab = masked_lab(spark, sf)
+    lab = stored_lab(spark, sf)
     pred = ft.persistence(lab, ["plant"], "silica", DELAY, [0])
     return rp.replay_as_of(pred, lab, ["plant"], "silica", "2024-01-20 10:00:00", DELAY).select(
         "plant", HOUR, "target_hour", "predicted", "actual"
@@ -543,10 +544,10 @@ def replay_as_of(spark, sf):
 
 
 def quality_now(spark, sf):
-    lab = masked_lab(spark, sf)
+    lab = stored_lab(spark, sf)
     pred = ft.persistence(lab, ["plant"], "silica", DELAY, [0])
     conf = hl.hour_confidence(health_rows(spark, sf), ["click", "view"], ["plant", HOUR])
-    return rp.quality_now(pred, lab, conf, limit(spark, sf), ["plant"], "silica", DELAY).select(
+    return rp.quality_now(pred, lab, conf, limit(lab), ["plant"], "silica", DELAY).select(
         "plant", HOUR, "predicted", "lab_value", "lab_hour", "confidence", "pred_off_spec"
     )
 

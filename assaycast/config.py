@@ -1,7 +1,7 @@
 """Typed configuration: paths, checks, features, models and the sizes that bound one task.
 
-``load_config`` reads a main YAML (or JSON) file and, when present, ``dq.yaml`` and
-``features.yaml`` beside it. Every missing key keeps the default below.
+``load_config`` reads a YAML (or JSON) file, with the checks and the feature list inside it or in files
+of their own. Every missing key keeps the default below.
 """
 
 from __future__ import annotations
@@ -245,13 +245,13 @@ def _read(path: Path) -> dict:
     return yaml.safe_load(text) or {}
 
 
-def load_config(path: str | Path) -> Config:
-    path = Path(path)
-    raw = _read(path)
-    for key, name in (("dq", "dq.yaml"), ("features", "features.yaml")):
-        side = path.parent / name
-        if key not in raw and side.exists():
-            raw[key] = _read(side)
+def load_config(
+    path: str | Path, checks: str | Path | None = None, features: str | Path | None = None
+) -> Config:
+    raw = _read(Path(path))
+    for key, side in (("dq", checks), ("features", features)):
+        if side is not None:
+            raw[key] = _read(Path(side))
     ml = raw.get("ml") or {}
     cfg = _build(Config, raw)
     # the limit may be given under ml or under the checks; the checks win

@@ -119,20 +119,23 @@ def hourly_values(
     """
     keys, values = list(keys), list(values)
     counted = df.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = F.array(*[F.struct(F.lit(v).alias("name"), F.col(v).alias("value")) for v in values])
-    long = counted.select(*keys, "_n", F.explode(pairs).alias("_p"))
-    distinct = long.groupBy(*keys, F.col("_p.name").alias("_name"), F.col("_p.value").alias("_value")).agg(
-        F.sum("_n").alias("_n")
-    )
-    total = F.sum(F.col("_value").cast(f"decimal({18 + scale},{scale})") * F.col("_n"))
-    known = F.sum(F.when(F.col("_value").isNotNull(), F.col("_n")))
-    per_value = distinct.groupBy(*keys, "_name").agg(
-        F.try_divide(total.cast("double"), known).alias("_mean"), F.count("_value").alias("_d")
-    )
-    return per_value.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_name") == v, F.col("_mean"))).alias(v) for v in values],
-        (F.max("_d") > max_distinct).alias(flag),
-    )
+    if len(values) == 1:
+        distinct = counted.withColumn("_name", F.lit(values[0])).withColumnRenamed(values[0], "_value")
+    else:
+        pairs = F.array(*[F.struct(F.lit(v).alias("name"), F.col(v).alias("value")) for v in values])
+        long = counted.select(*keys, "_n", F.explode(pairs).alias("_p"))
+        distinct = long.groupBy(*keys, F.col("_p.name").alias("_name"), F.col("_p.value").alias("_value")).agg(
+            F.sum("_n").alias("_n")
+        )
+
+    def known(v: str, c: Column) -> Column:
+        return F.when((F.col("_name") == v) & F.col("_value").isNotNull(), c)
+
+    amount = F.col("_value").cast(f"decimal({18 + scale},{scale})") * F.col("_n")
+    means = [F.try_divide(F.sum(known(v, amount)).cast("double"), F.sum(known(v, F.col("_n")))).alias(v) for v in values]
+    kinds = [F.count(known(v, F.lit(1))) for v in values]
+    worst = F.greatest(*kinds) if len(kinds) > 1 else kinds[0]
+    return distinct.groupBy(*keys).agg(*means, (worst > max_distinct).alias(flag))
 
 
 def lab_hourly(df: DataFrame, keys: Sequence[str], values: Sequence[str], max_distinct: int = 1, scale: int = 10):

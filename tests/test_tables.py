@@ -100,20 +100,20 @@ def test_raw_columns_are_text_and_checked(spark, tmp_path):
 
 
 def test_config_files(tmp_path):
-    (tmp_path / "local.yaml").write_text(
+    (tmp_path / "main.yaml").write_text(
         "mode: local\npaths: {raw_csv: x.csv, warehouse_root: w}\ncatalog: {name: null}\n"
         "postgres: {host: h, port: 5432, database: d, app_rw_user: a, app_rw_password_env: P}\n"
         "ml: {lab_delay_hours: 2, min_hour_completeness_pct: 70, split: {train_start: '2017-03-01'}, horizons: [0, 1]}\n"
         "mlflow: {tracking_uri: u, experiment_name: e}\n"
     )
-    cfg = load_config(tmp_path / "local.yaml")
+    cfg = load_config(tmp_path / "main.yaml")
     assert cfg.is_local and cfg.ml.lab_delay_hours == 2 and cfg.ml.horizons == [0, 1]
     assert cfg.dq.hour_completeness.min_completeness_pct == 70
-    (tmp_path / "dq.yaml").write_text(
+    (tmp_path / "checks.yaml").write_text(
         "sensor_health: {flatline_std_threshold: 1e-6}\nhour_completeness: {min_completeness_pct: 80}\n"
         "ranges: {column_level: [null, 5], ore_pulp_ph: [0, 14]}\n"
     )
-    cfg = load_config(tmp_path / "local.yaml")
+    cfg = load_config(tmp_path / "main.yaml", checks=tmp_path / "checks.yaml")
     assert cfg.dq.sensor_health.flatline_std_threshold == 1e-6
     assert cfg.dq.hour_completeness.min_completeness_pct == 80
     assert cfg.range_of("col03_level") == (None, 5.0) and cfg.range_of("ore_pulp_ph") == (0.0, 14.0)
