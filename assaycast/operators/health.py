@@ -26,34 +26,94 @@ def row_flags(
     """Add ``<value>_flat`` and ``<value>_spike`` to every row.
 
     Flat: part of a run of ``flat_rows`` readings whose deviation is below ``flat_std``; all rows of
-    the run are marked. Spike: more than ``spike_z`` deviations from the ``spike_rows`` readings
-    before it. Both frames run on one cut of each group, so a hot plant or sensor is split.
+    the run are marked. Spike: more than ``spike_z`` deviations from the mean of the ``spike_rows``
+    readings before it. Both frames run on one cut of each group, so a hot plant or sensor is split.
     """
     flat, spike = "flat" in which, "spike" in which
     before = max(spike_rows if spike else 0, flat_rows - 1 if flat else 0)
     after = flat_rows - 1 if flat else 0
     size = max(segment_rows, before, after)
     numbered = with_ordinals(df, keys, order, chunk).drop("from_end")
-    runs = with_segments(numbered, "ordinal", size, before, after)
-    along = Window.partitionBy(*keys, "_segment").orderBy("ordinal")
-
-    ends, marks = {}, {}
-    prior = along.rowsBetween(-spike_rows, -1)
-    recent = along.rowsBetween(-(flat_rows - 1), 0)
-    ahead = along.rowsBetween(0, flat_rows - 1)
-    for v in values:
-        if flat:
-            still = (F.count(v).over(recent) == flat_rows) & (F.stddev_samp(v).over(recent) < flat_std)
-            ends[f"_end_{v}"] = F.coalesce(still, F.lit(False))
-            marks[f"{v}_flat"] = F.max(f"_end_{v}").over(ahead)
-        if spike:
-            z = F.abs(F.col(v) - F.avg(v).over(prior)) / F.nullif(F.stddev_samp(v).over(prior), F.lit(0.0))
-            hit = (F.count(v).over(prior) == spike_rows) & (z > spike_z)
-            ends[f"{v}_spike"] = F.coalesce(hit, F.lit(False))
-    out = runs.withColumns(ends)
-    if marks:
-        out = out.withColumns(marks).drop(*[f"_end_{v}" for v in values])
-    return home_rows(out)
+    out = with_segments(numbered, "ordinal", size, before, after)
+    group = [*keys, "_segment"]
+
+    if spike:
+        out = with_frame_moments(out, group, "ordinal", values, spike_rows, "prior", current=False)
+        hits = {}
+        for v in values:
+            m = F.col("prior")[v]
+            # a frame of equal values has no deviation to compare with
+            z = F.when(m["low"] < m["high"], F.abs(F.col(v) - m["mean"]) / m["sd"])
+            hits[f"{v}_spike"] = F.coalesce((m["n"] == spike_rows) & (z > spike_z), F.lit(False))
+        out = out.withColumns(hits).drop("prior")
+    if flat:
+        out = with_frame_moments(out, group, "ordinal", values, flat_rows, "recent", current=True)
+        back = Window.partitionBy(*group).orderBy(F.desc("ordinal")).rowsBetween(Window.unboundedPreceding, 0)
+        marks = {}
+        for v in values:
+            m = F.col("recent")[v]
+            still = (m["n"] == flat_rows) & (m["sd"] < flat_std)
+            # the nearest row, here or later, at which a flat run ends
+            end = F.last(F.when(still, F.col("ordinal")), ignorenulls=True).over(back)
+            marks[f"{v}_flat"] = F.coalesce(end - F.col("ordinal") < flat_rows, F.lit(False))
+        out = out.withColumns(marks).drop("recent")
+    return home_rows(out).drop("ordinal")
+
+
+def with_frame_moments(
+    df: DataFrame, group: Sequence[str], position: str, values: Sequence[str], rows: int, name: str, current: bool
+) -> DataFrame:
+    """Add ``name``: per value the count, mean, deviation, low and high of a frame of ``rows`` rows.
+
+    The frame ends at the row (``current``) or just before it; positions have no holes. A sliding frame
+    costs its length per row and value. Here positions are cut into blocks as long as the frame, and a
+    frame is the tail of one block plus the head of the next: two running aggregates, a lag and a merge,
+    whatever the length.
+    """
+    block, offset = F.floor(F.col(position) / F.lit(rows)), F.pmod(F.col(position), F.lit(rows))
+    blocks = [*group, "_block"]
+    heads = Window.partitionBy(*blocks).orderBy(position).rowsBetween(Window.unboundedPreceding, 0 if current else -1)
+    tails = Window.partitionBy(*blocks).orderBy(F.desc(position)).rowsBetween(Window.unboundedPreceding, 0)
+
+    def moments(window) -> Column:
+        return F.struct(
+            *[
+                F.struct(
+                    F.count(v).over(window).alias("n"),
+                    F.avg(v).over(window).alias("mean"),
+                    F.var_pop(v).over(window).alias("var"),
+                    F.min(v).over(window).alias("low"),
+                    F.max(v).over(window).alias("high"),
+                ).alias(v)
+                for v in values
+            ]
+        )
+
+    out = df.withColumn("_block", block).withColumn("_tail", moments(tails)).withColumn("_head", moments(heads))
+    ago = rows - 1 if current else rows
+    tail = F.lag("_tail", ago).over(Window.partitionBy(*group).orderBy(position))
+    # with the current row, the last row of a block has its whole frame in the head
+    out = out.withColumn("_tail", F.when(offset < rows - 1, tail) if current else tail)
+
+    def merged(v: str) -> Column:
+        a, b = F.col("_tail")[v], F.col("_head")[v]
+        na, nb = F.coalesce(a["n"], F.lit(0)), F.coalesce(b["n"], F.lit(0))
+        ma, mb = F.coalesce(a["mean"], b["mean"]), F.coalesce(b["mean"], a["mean"])
+        n = na + nb
+        spread = (
+            na * F.coalesce(a["var"], F.lit(0.0))
+            + nb * F.coalesce(b["var"], F.lit(0.0))
+            + F.try_divide(na * nb, n) * (ma - mb) * (ma - mb)
+        )
+        return F.struct(
+            n.alias("n"),
+            F.try_divide(na * ma + nb * mb, n).alias("mean"),
+            F.sqrt(F.try_divide(spread, n - 1)).alias("sd"),
+            F.least(a["low"], b["low"]).alias("low"),
+            F.greatest(a["high"], b["high"]).alias("high"),
+        ).alias(v)
+
+    return out.withColumn(name, F.struct(*[merged(v) for v in values])).drop("_block", "_tail", "_head")
 
 
 def long_readings(df: DataFrame, keep: Sequence[str], values: Sequence[str]) -> DataFrame:
