@@ -230,9 +230,10 @@ def health_rows(spark, sf):
     order, chunk = order_and_chunk()
     rows = readings(spark, sf).withColumn("level", F.floor(F.col("value") / 50).cast("double"))
     out = hl.row_flags(
-        rows.withColumnRenamed("sensor", "series"), ["plant", "series"], ["value", "level"], order, chunk, flat_rows=6
+        rows.withColumnRenamed("sensor", "series"), ["plant", "series"], ["value"], order, chunk, flat_rows=6,
+        flat_values=["level"],
     )
-    out = out.withColumn("value_flat", F.col("level_flat"))
+    out = out.withColumnRenamed("level_flat", "value_flat")
     hourly = hl.hourly_health(out, ["plant", "series", HOUR], ["value"], {"value": (0, 200)})
     return hourly.drop("sensor").withColumnRenamed("series", "sensor")
 

@@ -22,12 +22,13 @@ def row_flags(
     spike_z: float = 4.0,
     segment_rows: int = 200_000,
     which: Sequence[str] = ("flat", "spike"),
+    flat_values: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``<value>_flat`` and ``<value>_spike`` to every row.
 
     Flat: part of a run of ``flat_rows`` readings whose deviation is below ``flat_std``; all rows of
     the run are marked. Spike: more than ``spike_z`` deviations from the mean of the ``spike_rows``
-    readings before it. Both frames run on one cut of each group, so a hot plant or sensor is split.
+    readings before it. ``flat_values`` names other columns for the flat test. Both frames run on one cut of each group, so a hot plant or sensor is split.
     """
     flat, spike = "flat" in which, "spike" in which
     before = max(spike_rows if spike else 0, flat_rows - 1 if flat else 0)
@@ -43,14 +44,15 @@ def row_flags(
         for v in values:
             m = F.col("prior")[v]
             # a frame of equal values has no deviation to compare with
-            z = F.when(m["low"] < m["high"], F.abs(F.col(v) - m["mean"]) / m["sd"])
+            z = F.when(m["low"] < m["high"], F.try_divide(F.abs(F.col(v) - m["mean"]), m["sd"]))
             hits[f"{v}_spike"] = F.coalesce((m["n"] == spike_rows) & (z > spike_z), F.lit(False))
         out = out.withColumns(hits).drop("prior")
     if flat:
-        out = with_frame_moments(out, group, "ordinal", values, flat_rows, "recent", current=True)
+        still_values = list(flat_values or values)
+        out = with_frame_moments(out, group, "ordinal", still_values, flat_rows, "recent", current=True)
         back = Window.partitionBy(*group).orderBy(F.desc("ordinal")).rowsBetween(Window.unboundedPreceding, 0)
         marks = {}
-        for v in values:
+        for v in still_values:
             m = F.col("recent")[v]
             still = (m["n"] == flat_rows) & (m["sd"] < flat_std)
             # the nearest row, here or later, at which a flat run ends
