@@ -7,7 +7,9 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaycast.llm import chat_format, mixing, url_filters
+from assaycast.llm import chat_format, mixing, piece_sampling, quality_rules, token_store, url_filters
+from assaycast.llm.shipping import ship
+from assaycast.session import scratch_dir
 
 # ---- fixed values -----------------------------------------------------------------------
 URL_RULES = [
@@ -22,13 +24,38 @@ CONTROL_CHAT_ID = -7
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the public tokenizers; the folder can be named by TOKENIZERS_DIR."""
+    root = os.environ.get("TOKENIZERS_DIR")
+    if root:
+        return os.path.join(root, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_quality_rules(spark, sf):
+    return quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op3_url_filters(spark, sf):
     return url_filters.filter_urls(table(spark, sf, "pages"), url_filters.rule_rows(spark, URL_RULES))
 
 
+def op4_piece_sampling(spark, sf):
+    return piece_sampling.sample_pieces(table(spark, sf, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op5_token_output(spark, sf):
+    path = scratch_dir(spark, "tokens")
+    token_store.write_tokens(table(spark, sf, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
+    return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_chat_formatting(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(
@@ -57,7 +84,7 @@ def op8_source_mixing(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in [op3_url_filters, op7_chat_formatting, op8_source_mixing]}
+QUERIES = {f.__name__: f for f in [op1_quality_rules, op3_url_filters, op4_piece_sampling, op5_token_output, op7_chat_formatting, op8_source_mixing]}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _RULES = "\n".join(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from assaycast.llm.text import n_words
 from assaycast.sources.tables import cut_lineage
 
-HASH_BITS, LEVELS = 60, (14, 16, 30)
+HASH_BITS, LEVELS = 60, (10, 20, 30)
 WEIGHTS = (3, 1, 2)
 
 

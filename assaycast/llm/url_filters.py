@@ -82,7 +82,9 @@ def filter_urls(
         ),
         allowMissingColumns=True,
     )
-    sweep = Window.partitionBy("rhost", "salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    # one column, as a sort by host and salt would be met by the join's shuffle on the host alone
+    both = both.withColumn("cell", F.concat_ws("/", F.col("salt").cast("string"), "rhost"))
+    sweep = Window.partitionBy("cell").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
     swept = both.withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 1")
     hit = swept.where(F.col("stack").isNotNull()).withColumn("_r", F.try_element_at(F.filter("stack", lambda r: F.startswith(F.col("key"), r["path"])), F.lit(-1)))
     rule_host = _reversed(F.col("rhost"))
