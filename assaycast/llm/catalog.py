@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaycast.llm import chat_format, mixing, piece_sampling, quality_rules, token_store, url_filters
+from assaycast.llm import chat_format, mixing, piece_sampling, quality_rules, substring_dedup, token_store, url_filters
 from assaycast.llm.shipping import ship
 from assaycast.session import scratch_dir
 
@@ -42,6 +42,11 @@ def op1_quality_rules(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op2_substring_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_url_filters(spark, sf):
     return url_filters.filter_urls(table(spark, sf, "pages"), url_filters.rule_rows(spark, URL_RULES))
 
@@ -84,7 +89,7 @@ def op8_source_mixing(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in [op1_quality_rules, op3_url_filters, op4_piece_sampling, op5_token_output, op7_chat_formatting, op8_source_mixing]}
+QUERIES = {f.__name__: f for f in [op1_quality_rules, op2_substring_dedup, op3_url_filters, op4_piece_sampling, op5_token_output, op7_chat_formatting, op8_source_mixing]}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _RULES = "\n".join(
