@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaycast.llm import chat_format, kneser_ney, mixing, piece_sampling, quality_rules, substring_dedup, token_store, url_filters
+from assaycast.llm import ann, chat_format, kneser_ney, mixing, piece_sampling, quality_rules, substring_dedup, token_store, url_filters
 from assaycast.llm.shipping import ship
 from assaycast.session import scratch_dir
 
@@ -89,11 +89,16 @@ def op8_source_mixing(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents"))
 
 
+def op9_nearest_neighbours(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op10_quality_classifier(spark, sf):
     return kneser_ney.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES = {f.__name__: f for f in [op1_quality_rules, op2_substring_dedup, op3_url_filters, op4_piece_sampling, op5_token_output, op7_chat_formatting, op8_source_mixing, op10_quality_classifier]}
+QUERIES = {f.__name__: f for f in [op1_quality_rules, op2_substring_dedup, op3_url_filters, op4_piece_sampling, op5_token_output, op7_chat_formatting, op8_source_mixing, op9_nearest_neighbours, op10_quality_classifier]}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _RULES = "\n".join(
