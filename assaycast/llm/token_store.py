@@ -18,7 +18,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaycast.llm.text import small
@@ -26,7 +26,7 @@ from assaycast.llm.text import small
 BLOCK = 65_536
 #: Unit of the end id.
 END = 0
-#: Distinct units after which an encoder forgets them and begins anew.
+#: Distinct units after which an encoder forgets the rare ones.
 CACHE_UNITS = 700_000
 CHUNKS = (
     "shard int, chunk int, first_id long, n_ids int, layout string, "
@@ -59,12 +59,12 @@ def from_planes(planes: list[bytes], n: int, layout: str = "byte") -> np.ndarray
 class Encoder:
     """Ids of texts; repeated units are encoded once.
 
-    The tokenizer's pattern never joins a space to what stands before it, so a text falls apart in front of its single
-    spaces into units that encode alone as they do in place. A space between other white space is not such
-    a place: those texts, and all texts of a tokenizer with another pattern, are encoded whole.
+    The tokenizer's pattern never joins a space or line feed to what stands before it, so a text falls apart in front of
+    its single spaces and line feeds into units that encode alone as they do in place. Texts with two white-space
+    characters in a row or one at the end, and all texts of a tokenizer with another pattern, are encoded whole.
     """
 
-    UNSAFE = re.compile(r"\s (?=\s|\Z)")
+    UNSAFE = re.compile(r"\s(?:\s|\Z)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -84,7 +84,7 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def units(self, missing: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of units that begin with a space, and how many each has, from one encoding of all of them in a row."""
+        """Ids of units that begin with a space or line feed, and how many each has, from one encoding of all of them in a row."""
         ids = self.whole("".join(missing))
         at = np.cumsum(self.width[ids])
         ends = np.cumsum(np.fromiter((len(u.encode()) for u in missing), np.int64, len(missing)))
@@ -97,14 +97,14 @@ class Encoder:
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by ``end_id``, and the number of ids of each text."""
         if len(self.index) > CACHE_UNITS:
-            self.reset()
+            self.forget()
         index, known = self.index, len(self.index)
         number = index.__getitem__
         extra: list[np.ndarray] = []  # texts that are not made of units, as units of this call
         counts, where = [], []
         for t in texts:
             if self.splits and not self.UNSAFE.search(t):
-                head, *rest = t.split(" ")
+                head, *rest = t.replace("\n", " \n").split(" ")
                 if head:
                     where.append(~len(extra))
                 where.extend(map(number, rest))
@@ -120,6 +120,7 @@ class Encoder:
         self.flat[END] = end_id
         self.learn(list(itertools.islice(index, known, None)))
         place = np.array(where, np.int64)
+        self.seen += np.bincount(place[place >= 0], minlength=len(self.begin))
         more = np.array([len(e) for e in extra], np.int64)
         base = len(self.flat)
         flat = np.concatenate([self.flat, *extra]) if extra else self.flat
@@ -136,15 +137,31 @@ class Encoder:
     def learn(self, missing: list[str]) -> None:
         if not missing:
             return
-        ids, n = self.units([" " + u for u in missing])
+        ids, n = self.units([u if u[:1] == "\n" else " " + u for u in missing])
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(n) - n])
         self.length = np.concatenate([self.length, n])
         self.flat = np.concatenate([self.flat, ids])
+        self.seen = np.concatenate([self.seen, np.zeros(len(n), np.int64)])
+
+    def forget(self) -> None:
+        """Keep the units that come again and again, half of the room at most."""
+        least = 2
+        while np.count_nonzero(self.seen >= least) > CACHE_UNITS // 2:
+            least *= 2
+        self.seen[END] = least
+        keep = np.flatnonzero(self.seen >= least)
+        n, begin = self.length[keep], self.begin[keep]
+        upto = np.cumsum(n)
+        self.flat = self.flat[np.repeat(begin - upto + n, n) + np.arange(upto[-1])]
+        self.begin, self.length, self.seen = upto - n, n, self.seen[keep] // 2
+        units = list(self.index)
+        self.index = _Index((units[i], k) for k, i in enumerate(keep.tolist()))
 
     def reset(self) -> None:
         """Only the end of a document is known. Units are kept without their leading space."""
         self.index = _Index({None: END})
         self.flat, self.begin, self.length = np.zeros(1, np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.seen = np.zeros(1, np.int64)
 
 
 class _Index(dict):
@@ -239,27 +256,28 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     Chunks are decoded where they lie; only documents that cross a chunk's end are shuffled.
     """
     chunks = spark.read.parquet(os.path.join(path, "chunks"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # one row per writing task
-    base = shards.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    totals = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()  # one row per writing task
+    ends = np.cumsum([r["n"] for r in totals]) if totals else np.zeros(0, np.int64)
+    base = {r["shard"]: int(e) - r["n"] for r, e in zip(totals, ends)}
+
+    def pieces(crossing):
+        def run(batches):
+            for b in batches:
+                for row in b.to_pylist():
+                    first, end, before = row["first_id"], row["first_id"] + row["n_ids"], base[row["shard"]]
+                    docs = [d for d in row["docs"] if (d["start"] >= first and d["start"] + d["n_tokens"] <= end) != crossing]
+                    if not docs:
+                        continue
+                    raw = from_planes(row["planes"], row["n_ids"], row["layout"]).tobytes()
+                    cuts = [(max(d["start"], first), min(d["start"] + d["n_tokens"], end)) for d in docs]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([d["doc_id"] for d in docs], pa.int64()), pa.array([before + d["start"] for d in docs], pa.int64()),
+                        pa.array([d["n_tokens"] for d in docs], pa.int64()), pa.array([lo for lo, _ in cuts], pa.int64()),
+                        pa.array([raw[4 * (lo - first) : 4 * (hi - first)] for lo, hi in cuts], pa.binary()),
+                    ], ["doc_id", "start", "n_tokens", "part", "ids"])
+
+        return chunks.mapInArrow(run, "doc_id long, start long, n_tokens long, part long, ids binary")
 
-    def run(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                raw = from_planes(row["planes"], row["n_ids"], row["layout"]).tobytes()
-                first, out = row["first_id"], []
-                for d in row["docs"]:
-                    lo, hi = max(d["start"], first), min(d["start"] + d["n_tokens"], first + row["n_ids"])
-                    out.append((d["doc_id"], row["shard"], d["start"], d["n_tokens"], lo, raw[4 * (lo - first) : 4 * (hi - first)]))
-                cols = list(zip(*out)) or [()] * 6
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "shard", "at", "n_tokens", "part", "ids"])
-
-    parts = chunks.mapInArrow(run, "doc_id long, shard int, at long, n_tokens long, part long, ids binary").join(base, "shard")
-    parts = parts.withColumn("start", F.col("base") + F.col("at"))
-    whole = F.length("ids") == 4 * F.col("n_tokens")
-    crossing = parts.where(~whole).groupBy("doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("p"))
     joined = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
-    return parts.where(whole).select("doc_id", "start", "n_tokens", "ids").unionByName(
-        crossing.select("doc_id", "start", "n_tokens", joined.alias("ids"))
-    )
+    split = pieces(True).groupBy("doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("p"))
+    return pieces(False).select("doc_id", "start", "n_tokens", "ids").unionByName(split.select("doc_id", "start", "n_tokens", joined.alias("ids")))
