@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaycast.llm import ann, chat_format, kneser_ney, mixing, piece_sampling, quality_rules, substring_dedup, token_store, url_filters
+from assaycast.llm import ann, chat_format, kneser_ney, minhash_dedup, mixing, piece_sampling, quality_rules, substring_dedup, token_store, url_filters
 from assaycast.llm.shipping import ship
 from assaycast.session import scratch_dir
 
@@ -61,6 +61,10 @@ def op5_token_output(spark, sf):
     return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_minhash_dedup(spark, sf):
+    return minhash_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
 def op7_chat_formatting(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(
@@ -98,7 +102,7 @@ def op10_quality_classifier(spark, sf):
     return kneser_ney.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES = {f.__name__: f for f in [op1_quality_rules, op2_substring_dedup, op3_url_filters, op4_piece_sampling, op5_token_output, op7_chat_formatting, op8_source_mixing, op9_nearest_neighbours, op10_quality_classifier]}
+QUERIES = {f.__name__: f for f in [op1_quality_rules, op2_substring_dedup, op3_url_filters, op4_piece_sampling, op5_token_output, op6_minhash_dedup, op7_chat_formatting, op8_source_mixing, op9_nearest_neighbours, op10_quality_classifier]}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _RULES = "\n".join(
