@@ -181,23 +181,23 @@ def probabilities(seen: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
 
 
 def scores(docs: DataFrame, bits: DataFrame, asked: DataFrame, order: int) -> DataFrame:
-    """``doc_id, lang, n_bytes, mean_bits, score`` of every row; docs: ``chunk, doc_id, lang, text``."""
+    """``doc_id, text_hash, lang, n_bytes, mean_bits, score`` of every row; docs: ``chunk, doc_id, text_hash, lang, text``."""
     answers = asked.join(bits, "gram").select("gram", F.col("bits").cast("float").alias("bits"), F.explode("chunks").alias("chunk"))
-    kind = dict(docs.dtypes)["doc_id"]
+    kind, own = dict(docs.dtypes)["doc_id"], ["chunk", "doc_id", "text_hash", "lang"]
 
     def pack_texts(batches):
         for b in batches:
             for part in small(b):
                 packed = pa.array(pack(part.column("text").cast(pa.large_binary()).to_pylist()), pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("chunk", "doc_id", "lang")), packed], ["chunk", "doc_id", "lang", "packed"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), packed], [*own, "packed"])
 
-    packed = docs.select("chunk", "doc_id", "lang", "text").mapInArrow(pack_texts, f"chunk long, doc_id {kind}, lang string, packed binary")
-    names = ["doc_id", "lang", "n_bytes", "mean_bits", "score"]
+    packed = docs.select(*own, "text").mapInArrow(pack_texts, f"chunk long, doc_id {kind}, text_hash long, lang string, packed binary")
+    names = ["doc_id", "text_hash", "lang", "n_bytes", "mean_bits", "score"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("gram")
         keys, values = right["gram"].to_numpy(), right["bits"].to_numpy().astype(np.float64)
-        ids, langs, sizes, means, rated = [], [], [], [], []
+        ids, hashes, langs, sizes, means, rated = [], [], [], [], [], []
         for b in left.to_batches():
             for part in small(b, 256):
                 for i, j, data, off in _texts(pa.array(unpack(part.column("packed").to_pylist()), pa.large_binary())):
@@ -209,18 +209,20 @@ def scores(docs: DataFrame, bits: DataFrame, asked: DataFrame, order: int) -> Da
                     mean = (s[off[1:]] - s[off[:-1]]) / some
                     spread = np.sqrt(np.maximum((q[off[1:]] - q[off[:-1]]) / some - mean**2, 0))
                     ids.append(part.column("doc_id").slice(i, j - i))
+                    hashes.append(part.column("text_hash").slice(i, j - i))
                     langs.append(part.column("lang").slice(i, j - i))
                     sizes.append(n)
                     empty = n == 0
                     means.append(pa.array(mean, mask=empty))
                     rated.append(pa.array(mean - SLACK * spread / np.sqrt(some), mask=empty))
         if not ids:
-            return pa.table({"doc_id": pa.array([], left.schema.field("doc_id").type), "lang": pa.array([], pa.string()), "n_bytes": pa.array([], pa.int64()), "mean_bits": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-        cols = [pa.chunked_array(ids), pa.chunked_array(langs).cast(pa.string()), pa.array(np.concatenate(sizes)), pa.chunked_array(means), pa.chunked_array(rated)]
+            types = [left.schema.field("doc_id").type, pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.float64()]
+            return pa.table([pa.array([], t) for t in types], names)
+        cols = [pa.chunked_array(ids), pa.chunked_array(hashes), pa.chunked_array(langs).cast(pa.string()), pa.array(np.concatenate(sizes)), pa.chunked_array(means), pa.chunked_array(rated)]
         return pa.table(cols, names)
 
     pairs = packed.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return pairs.applyInArrow(run, f"doc_id {kind}, lang string, n_bytes long, mean_bits double, score double")
+    return pairs.applyInArrow(run, f"doc_id {kind}, text_hash long, lang string, n_bytes long, mean_bits double, score double")
 
 
 def thresholds(held: DataFrame, quantile: float) -> DataFrame:
@@ -248,7 +250,7 @@ def judge(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER,
     quantile: float = QUANTILE,
 ) -> DataFrame:
-    """``doc_id, lang, n_bytes, perplexity, score, threshold, kept`` of every row.
+    """``doc_id, lang, n_bytes, perplexity, score, threshold, kept, text_hash`` (xxhash64) of every row.
 
     labels: ``doc_id, quality``; trusted are documents with a label 1 and none of 0. ``perplexity`` is per byte,
     ``score`` its log2 less ``SLACK`` standard errors, so that a short text is not rejected on little evidence, and
@@ -260,7 +262,7 @@ def judge(
     if not 2 <= order <= 7:
         raise ValueError("an order from 2 to 7 fits a number")
     rows = docs.select(
-        chunk_of_input(docs, doc_id).alias("chunk"), F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
+        chunk_of_input(docs, doc_id).alias("chunk"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
     trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
     held = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(HELD_OUT)) == 0
@@ -275,5 +277,5 @@ def judge(
     limit = F.coalesce("threshold", everyone, F.lit(float("inf")))
     return out.select(
         "doc_id", "lang", "n_bytes", F.pow(F.lit(2.0), "mean_bits").alias("perplexity"), "score", limit.alias("threshold"),
-        F.coalesce(F.col("score") <= limit, F.lit(False)).alias("kept"),
+        F.coalesce(F.col("score") <= limit, F.lit(False)).alias("kept"), "text_hash",
     )

@@ -89,7 +89,7 @@ def bands(signature: np.ndarray, n: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``id, node, bands``: node, 16 bytes, stands for the sequence of words; without words both are null. docs: ``id, text``."""
+    """``id, text_hash, node, bands``: node, 16 bytes, stands for the sequence of words; without words both are null. docs: ``id, text_hash, text``."""
 
     def run(batches):
         for b in batches:
@@ -102,9 +102,10 @@ def signatures(docs: DataFrame, n: int = BANDS, rows: int = ROWS) -> DataFrame:
                 nodes = [xxhash.xxh3_128_digest(b" ".join(raw[a:z].split())) if s else None for a, z, s in zip(off[:-1], off[1:], sizes)]
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, n, 0))])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), pa.array(nodes, pa.binary()), lists], ["id", "node", "bands"])
+                own = [b.column(c).slice(i, j - i) for c in ("id", "text_hash")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(nodes, pa.binary()), lists], ["id", "text_hash", "node", "bands"])
 
-    return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, node binary, bands array<long>")
+    return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, text_hash long, node binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -132,7 +133,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.binary()) for c in (0, 1)], ["node", "shingles"])
 
-    packed = docs.mapInArrow(pack_texts, f"id {kind}, packed binary")
+    packed = docs.select("id", "text").mapInArrow(pack_texts, f"id {kind}, packed binary")
     met = packed.join(wanted, packed.id.eqNullSafe(wanted.wanted_id)).select("node", "packed")
     found = met.mapInArrow(run, "node binary, shingles binary")
     # an id that comes twice with one text gives the same set twice
@@ -161,14 +162,14 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, n_bands: int = BANDS,
     rows: int = ROWS, leaders: int = LEADERS,
 ) -> DataFrame:
-    """``doc_id, text_class, class_id, class_size, n_links`` of every row.
+    """``doc_id, text_class, class_id, class_size, n_links, text_hash`` of every row.
 
     ``class_id`` is the least id of the texts linked, over any number of links, to this one; ``text_class`` the least id
     of the documents with the same words; ``n_links`` the number of different texts this text was verified
     against and found similar. Null texts and texts without words are classes of their own. The least id is that of
-    non-null ids, if there is one. Rows that repeat are copies of each other and come back as often as they came.
+    non-null ids, if there is one; ``text_hash`` is xxhash64 of the text. Rows that repeat are copies of each other and come back as often as they came.
     """
-    base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    base = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     signed = cut_lineage(signatures(base, n_bands, rows), "near-signatures")
     texts = signed.where("node is not null").groupBy("node").agg(
         F.min("id").alias("wanted_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")
@@ -211,11 +212,11 @@ def near_duplicates(
     placed = texts.select("node", "wanted_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = placed.groupBy("root").agg(F.min("wanted_id").alias("class_id"), F.sum("copies").alias("class_size"))
     of_text = placed.join(classes, "root").join(counts, "node", "left")
-    out = signed.select("id", "node").join(of_text, "node", "left")
+    out = signed.select("id", "text_hash", "node").join(of_text, "node", "left")
     single = F.col("node").isNull()
     return out.select(
         F.col("id").alias(doc_id), F.when(single, F.col("id")).otherwise(F.col("wanted_id")).alias("text_class"),
         F.when(single, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(single, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_hash",
     )

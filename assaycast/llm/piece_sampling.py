@@ -213,27 +213,26 @@ def decode(model: Lattice, ids) -> str:
 
 
 def sample_pieces(
-    docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = 0, alpha: float = ALPHA,
+    docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = 0, alpha: float = ALPHA, keep: tuple | list = (),
 ) -> DataFrame:
-    """``key, ids, n_pieces, lossless`` of every row: the drawn piece ids, and whether decoding them gave back the text.
+    """``key, *keep, ids, n_pieces, lossless`` of every row: the drawn piece ids, and whether decoding them gave back the text.
 
-    The key is an integer. Null and empty texts have no ids. Rows that repeat get the same ids; a null key is a key.
-    A single unit without spaces may be of any length; time and memory are in proportion to it.
+    The key is an integer; the columns ``keep`` come along. Null and empty texts have no ids. Rows that repeat get the same
+    ids; a null key is a key. A single unit without spaces may be of any length; time and memory are in proportion.
     """
-    kind = dict(docs.dtypes)[key]
+    along = [key, *keep]
+    rows = docs.select(*[F.col(f"`{c}`") for c in along], F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text"))
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in along)
 
     def run(batches):
         m = lattice(model)
         for b in batches:
             for part in small(b, 1024):
-                keys, texts = part.column("key").to_pylist(), [t or "" for t in part.column("text").to_pylist()]
+                keys, texts = part.column("_key").to_pylist(), [t or "" for t in part.column("_text").to_pylist()]
                 ids, n = encode(m, texts, keys, seed, alpha)
                 off = np.concatenate([[0], np.cumsum(n)])
                 same = [decode(m, ids[a:z].tolist()) == t for a, z, t in zip(off[:-1], off[1:], texts)]
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("key"), lists, pa.array(n), pa.array(same)], ["key", "ids", "n_pieces", "lossless"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in along), lists, pa.array(n), pa.array(same)], [*along, "ids", "n_pieces", "lossless"])
 
-    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        run, f"key {kind}, ids array<int>, n_pieces long, lossless boolean"
-    )
-    return out.withColumnRenamed("key", key)
+    return rows.mapInArrow(run, f"{schema}, ids array<int>, n_pieces long, lossless boolean")
