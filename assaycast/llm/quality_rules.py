@@ -61,8 +61,8 @@ def slice_stats(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     edge[off] = True
     feed = data == 10
     begin = np.flatnonzero(edge[:-1] | np.concatenate([[False], feed[:-1]])) if len(data) else np.zeros(0, np.int64)
-    end = np.append(begin[1:], len(data))
-    stop = end - (feed[end - 1] if len(end) else 0)
+    end = np.append(begin[1:], len(data))[: len(begin)]
+    stop = end - feed[end - 1]
     words_to = np.searchsorted(w.start, np.append(begin, len(data)))
     full = np.diff(words_to) > 0
     begin, stop = begin[full], stop[full]
