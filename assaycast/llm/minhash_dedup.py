@@ -26,8 +26,8 @@ from assaycast.sources.tables import cut_lineage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 6
-#: Leaders of a bucket in one round.
-LEADERS = 8
+#: Leaders of a bucket in the first of the further rounds, and how many times as many the next round has.
+LEADERS, GROWTH = 8, 8
 SHINGLE_BASE = 0xC6A4A7935BD1E995
 
 
@@ -185,7 +185,7 @@ def near_duplicates(
     pairs = members.where(F.col("node") != F.col("leader")).groupBy("node").agg(F.min("leader").alias("b")).select(F.col("node").alias("a"), "b")
     tried = cut_lineage(pairs, "near-tried")
     links = cut_lineage(_verify(tried, sets, similarity), "near-links")
-    roots, before = components(links), 0
+    roots, before, step = components(links), 0, leaders
     members = members.select("key", "node")
     while True:
         # buckets that still hold several components, and their next leaders
@@ -196,7 +196,7 @@ def near_duplicates(
         if placed.isEmpty():
             break
         place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        lead = placed.withColumn("i", place).where((F.col("i") > before) & (F.col("i") <= before + leaders)).drop("i")
+        lead = placed.withColumn("i", place).where((F.col("i") > before) & (F.col("i") <= before + step)).drop("i")
         met = placed.alias("p").join(lead.alias("l"), "key").where("p.root != l.root")
         pairs = met.select(F.greatest("p.node", "l.node").alias("a"), F.least("p.node", "l.node").alias("b")).distinct()
         pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
@@ -205,7 +205,7 @@ def near_duplicates(
         members = placed.select("key", "node")
         if not new.isEmpty():
             roots = components(links)
-        before += leaders
+        before, step = before + step, step * GROWTH
 
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     counts = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
