@@ -131,7 +131,7 @@ def _replicas(n: int) -> str:
     digest = "md5(concat_ws('|', CAST(event_id AS VARCHAR), CAST(c AS VARCHAR), 'value', '7'))"
     unit = f"CAST(CAST('0x' || substr({digest}, 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0"
     return READ + f""", copies AS (
-  SELECT event_id, plant + c * 1000 AS plant, sensor, hour_ts + c * INTERVAL 24 HOUR AS hour_ts,
+  SELECT event_id, CASE WHEN c = 0 THEN plant ELSE 1073741824 + plant * {n} + c - 1 END AS plant, sensor, hour_ts + c * INTERVAL 24 HOUR AS hour_ts,
          CASE WHEN c = 0 THEN value ELSE value * (1 + 0.1::DOUBLE * ({unit} - 0.5)) END AS value, c > 0 AS is_synthetic
   FROM r, (SELECT unnest(range(0, {n + 1})) AS c))"""
 

@@ -26,13 +26,14 @@ LEVELS = [f"col{i:02d}_level" for i in range(1, 8)]
 LAB_COLUMNS = ["pct_iron_concentrate", "pct_silica_concentrate"]
 SENSORS = KEY_SENSORS + AIR_FLOWS + LEVELS
 NUMERIC_COLUMNS = FEED_COLUMNS + SENSORS + LAB_COLUMNS
-RAW_HEADER = (
-    ["date", "% Iron Feed", "% Silica Feed", "Starch Flow", "Amina Flow"]
-    + ["Ore Pulp Flow", "Ore Pulp pH", "Ore Pulp Density"]
-    + [f"Flotation Column {i:02d} Air Flow" for i in range(1, 8)]
-    + [f"Flotation Column {i:02d} Level" for i in range(1, 8)]
-    + ["% Iron Concentrate", "% Silica Concentrate"]
-)
+RAW_HEADER = [
+    "date", "% Iron Feed", "% Silica Feed", "Starch Flow", "Amina Flow", "Ore Pulp Flow", "Ore Pulp pH", "Ore Pulp Density",
+    "Flotation Column 01 Air Flow", "Flotation Column 02 Air Flow", "Flotation Column 03 Air Flow",
+    "Flotation Column 04 Air Flow", "Flotation Column 05 Air Flow", "Flotation Column 06 Air Flow",
+    "Flotation Column 07 Air Flow", "Flotation Column 01 Level", "Flotation Column 02 Level", "Flotation Column 03 Level",
+    "Flotation Column 04 Level", "Flotation Column 05 Level", "Flotation Column 06 Level", "Flotation Column 07 Level",
+    "% Iron Concentrate", "% Silica Concentrate",
+]
 RANGES = {
     "pct_iron_feed": [0, 100],
     "pct_silica_feed": [0, 100],
@@ -88,8 +89,6 @@ class Postgres:
     database: str = ""
     app_rw_user: str = ""
     app_rw_password_env: str = ""
-    analyst_ro_user: str = ""
-    analyst_ro_password_env: str = ""
     schema: str = "serving"
 
 
@@ -117,18 +116,13 @@ class Ml:
     depth: int = 5
     boosting_rounds: int = 20
     quantile_bins: int = 50
-    shapley_permutations: int = 2
+    shapley_permutations: int = 10
+    retrain: bool = False
     retrain_mae_ratio: float = 1.5
     retrain_psi: float = 0.2
     seed: int = 7
 
 
-@dataclass
-class Mlflow:
-    tracking_uri: str = ""
-    experiment_name: str = ""
-
-
 @dataclass
 class DateRange:
     min: str = "2017-01-01"
@@ -192,7 +186,6 @@ class Config:
     catalog: Catalog = field(default_factory=Catalog)
     postgres: Postgres = field(default_factory=Postgres)
     ml: Ml = field(default_factory=Ml)
-    mlflow: Mlflow = field(default_factory=Mlflow)
     dq: Quality = field(default_factory=Quality)
     features: Features = field(default_factory=Features)
     sizes: Sizes = field(default_factory=Sizes)

@@ -233,12 +233,13 @@ def visible_at(df: DataFrame, available: Column | str, replay_hour: str) -> Data
 
 def replicate_plants(
     df: DataFrame, copies: int, plant: str, values: Sequence[str], row_key: Sequence[str],
-    shift_hours: int = 24, noise: float = 0.01, seed: int = 7, stride: int = 1000,
+    shift_hours: int = 24, noise: float = 0.01, seed: int = 7, first_key: int = 1 << 30,
 ) -> DataFrame:
     """Synthetic plants: shifted in time, with noise that depends only on the row, plant and seed.
 
-    Originals come first, unchanged; copies carry ``is_synthetic``. Every row makes its own copies,
-    so the work stays where the rows are.
+    Originals come first, unchanged; copies carry ``is_synthetic``. Real keys lie from 0 to below
+    ``first_key``; copy c of plant p gets ``first_key`` + p * copies + c - 1, different for every p and c. Every row
+    makes its own copies, so the work stays where the rows are.
     """
     numbers = F.explode(F.sequence(F.lit(0), F.lit(copies)))
     made = df.withColumn("_copy", numbers).withColumn("is_synthetic", F.col("_copy") > 0)
@@ -253,7 +254,9 @@ def replicate_plants(
         {
             **{v: noisy(v) for v in values},
             HOUR: hour_from_epoch(epoch_hour(HOUR) + F.col("_copy") * shift_hours),
-            plant: F.col(plant) + F.col("_copy") * stride,
+            plant: F.when(F.col("_copy") == 0, F.col(plant))
+            .otherwise(F.lit(first_key) + F.col(plant) * copies + F.col("_copy") - 1)
+            .cast(df.schema[plant].dataType),
         }
     )
     return out.drop("_copy")

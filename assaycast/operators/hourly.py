@@ -131,7 +131,10 @@ def hourly_values(
     def known(v: str, c: Column) -> Column:
         return F.when((F.col("_name") == v) & F.col("_value").isNotNull(), c)
 
-    amount = F.col("_value").cast(f"decimal({18 + scale},{scale})") * F.col("_n")
+    # the product must not need more than 38 digits, or Spark would cut decimals off it
+    if not 0 <= scale <= 11:
+        raise ValueError("a scale of 0 to 11 decimals is summed exactly")
+    amount = F.col("_value").cast(f"decimal({16 + scale},{scale})") * F.col("_n").cast("decimal(10,0)")
     means = [F.try_divide(F.sum(known(v, amount)).cast("double"), F.sum(known(v, F.col("_n")))).alias(v) for v in values]
     kinds = [F.count(known(v, F.lit(1))) for v in values]
     worst = F.greatest(*kinds) if len(kinds) > 1 else kinds[0]

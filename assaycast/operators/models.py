@@ -329,7 +329,6 @@ def horizon_study(df: DataFrame, columns: Sequence[str], fit: Fit, horizons: Seq
 
 
 def save_model(fitted: Fitted, path: str) -> None:
-    spark = _session()
     spark = _session()
     fitted.pipeline.write().overwrite().save(f"{path}/pipeline")
     rows = [(fitted.name, c, float(fitted.means[c]), i, str(fitted.params)) for i, c in enumerate(fitted.columns)]

@@ -31,7 +31,7 @@ def _lab(t: Tables) -> DataFrame:
 def quality_now(spark: SparkSession, cfg: Config) -> DataFrame:
     t = Tables(spark, cfg)
     confidence = hour_confidence(t.read("silver", "sensor_health"), KEY_SENSORS, [*KEYS, HOUR])
-    pred = t.read("gold", "fact_predictions").drop("confidence")
+    pred = pl.current_predictions(t).drop("confidence")
     return rp.quality_now(pred, _lab(t), confidence, pl.train_limit(t, cfg), KEYS, SILICA, cfg.ml.lab_delay_hours)
 
 
@@ -42,7 +42,7 @@ def trends(
     lab = _lab(t)
     base = ft.persistence(lab, KEYS, SILICA, cfg.ml.lab_delay_hours, [0])
     return rp.trends(
-        t.read("gold", "fact_predictions"), lab, base, pl.train_limit(t, cfg), KEYS, SILICA,
+        pl.current_predictions(t), lab, base, pl.train_limit(t, cfg), KEYS, SILICA,
         first_day, last_day, shift, cfg.ml.shift_starts_hour,
     )
 
@@ -50,7 +50,7 @@ def trends(
 def drivers(spark: SparkSession, cfg: Config) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Global importance, top three per hour, reagents against silica."""
     t = Tables(spark, cfg)
-    tops = t.read("gold", "fact_predictions").where("horizon_h = 0")
+    tops = pl.current_predictions(t).where("horizon_h = 0")
     process = t.read("gold", "fact_process_hourly")
     view = rp.reagent_view(process, _lab(t), KEYS, SILICA, ["starch_flow_mean", "amina_flow_mean"])
     return (
@@ -76,7 +76,7 @@ def pipeline_health(spark: SparkSession, cfg: Config) -> tuple[DataFrame, DataFr
 
 def replay_as_of(spark: SparkSession, cfg: Config, hour: str) -> DataFrame:
     t = Tables(spark, cfg)
-    return rp.replay_as_of(t.read("gold", "fact_predictions"), _lab(t), KEYS, SILICA, hour, cfg.ml.lab_delay_hours)
+    return rp.replay_as_of(pl.current_predictions(t), _lab(t), KEYS, SILICA, hour, cfg.ml.lab_delay_hours)
 
 
 def shift_comparison(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -89,7 +89,9 @@ def monitor(spark: SparkSession, cfg: Config) -> DataFrame:
     t = Tables(spark, cfg)
     truth = pl.predictions_with_truth(t, cfg).where("horizon_h = 0")
     rolling = rp.model_health(truth, KEYS)
-    now = rolling.agg(F.max_by("rolling_mae", "target_hour").alias("m"))
+    # the last error of each plant, and of these the worst
+    last = rolling.groupBy(*KEYS).agg(F.max_by("rolling_mae", "target_hour").alias("m"))
+    now = last.agg(F.max("m").alias("m"))
     known = truth.where(split_label("target_hour", cfg.ml.split) == "val")
     reference = known.agg(F.avg(F.abs(F.col("predicted") - F.col("actual"))).alias("m"))
     worst = pl.drift(spark, cfg).agg(F.max("psi").alias("p"))

@@ -39,7 +39,7 @@ def with_load_metadata(df: DataFrame) -> DataFrame:
         "*",
         meta["file_path"].alias("_source_file"),
         F.current_timestamp().alias("_ingested_at"),
-        F.substring(F.sha2(identity, 256), 1, 16).alias("_batch_id"),
+        F.sha2(identity, 256).alias("_batch_id"),
         meta["file_block_start"].alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
     )

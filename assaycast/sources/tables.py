@@ -69,8 +69,20 @@ class Tables:
     def replace_partitions(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str]) -> None:
         """Append by partition; partitions that are loaded again are replaced, others untouched."""
         ref = self.ref(layer, name)
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-        w.saveAsTable(ref) if self.by_name else w.parquet(ref)
+        w = df.write.mode("overwrite").partitionBy(*partition_by)
+        if not self.by_name:
+            w.option("partitionOverwriteMode", "dynamic").parquet(ref)
+        elif not self.spark.catalog.tableExists(ref):
+            w.saveAsTable(ref)
+        else:
+            # saveAsTable would replace the whole table; only the session setting makes this overwrite dynamic
+            key = "spark.sql.sources.partitionOverwriteMode"
+            before = self.spark.conf.get(key)
+            self.spark.conf.set(key, "dynamic")
+            try:
+                df.select(*self.spark.table(ref).columns).write.insertInto(ref, overwrite=True)
+            finally:
+                self.spark.conf.set(key, before)
 
     def upsert(
         self, df: DataFrame, layer: str, name: str, keys: Sequence[str], partition_by: Sequence[str] = ()
@@ -78,18 +90,22 @@ class Tables:
         """Insert or update by natural key; running it again changes nothing.
 
         With ``partition_by`` only the partitions present in ``df`` are read and rewritten. Partition
-        columns must follow from the keys, so that a row cannot move between partitions.
+        columns must follow from the keys, so that a row cannot move between partitions. The source is
+        written once before it is compared and merged, so a costly plan runs once.
         """
         keys, parts = list(keys), list(partition_by)
         if not self.exists(layer, name):
             self.overwrite(df, layer, name, parts)
             return
-        old = self.read(layer, name).select(*df.columns)
+        new = cut_lineage(df, name)
+        old = self.read(layer, name).select(*new.columns)
         if parts:
-            touched = df.select(*parts).distinct()
-            self.replace_partitions(merge_rows(old.join(touched, parts, "left_semi"), df, keys), layer, name, parts)
+            touched = new.select(*parts).distinct()
+            merged = merge_rows(old.join(touched, parts, "left_semi"), new, keys)
+            # a named table cannot be read and overwritten in one statement
+            self.replace_partitions(cut_lineage(merged, name) if self.by_name else merged, layer, name, parts)
         else:
-            self.overwrite(cut_lineage(merge_rows(old, df, keys), name), layer, name)
+            self.overwrite(cut_lineage(merge_rows(old, new, keys), name), layer, name)
 
     def as_of_batch(self, layer: str, name: str, batch_id: str) -> DataFrame:
         """Rows of one batch; the batch is a partition, so no other file is read."""

@@ -28,12 +28,17 @@ def event_time(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp")
 
 
-def stream_hourly(sdf: DataFrame, keys: Sequence[str], ts: str, value: str, delay: str = "1 hour") -> DataFrame:
-    """Tumbling one-hour statistics; an hour is emitted once the watermark has passed it."""
+def stream_hourly(
+    sdf: DataFrame, keys: Sequence[str], ts: str, value: str, delay: str = "1 hour", scale: int = 10
+) -> DataFrame:
+    """Tumbling one-hour statistics; an hour is emitted once the watermark has passed it.
+
+    The mean is exact for values of up to ``scale`` decimals.
+    """
     timed = sdf.withColumn(ts, event_time(ts)).withWatermark(ts, delay)
     out = timed.groupBy(F.window(ts, "1 hour").alias("_w"), *keys).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.col(value).cast("decimal(20,2)")).alias("_s"),
+        F.sum(F.col(value).cast(f"decimal({18 + scale},{scale})")).alias("_s"),
         F.min(value).alias("value_min"),
         F.max(value).alias("value_max"),
         F.stddev_samp(value).alias("value_std"),

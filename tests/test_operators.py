@@ -334,3 +334,20 @@ def test_top_drivers_and_latest(spark):
     assert [r["feature"] for r in mt.top_features(mt.global_importance(df), 2).collect()] == ["a", "b"]
     newest = mt.latest(hours(spark, [("p", 1, 5), ("p", 3, 6), ("q", 2, 7)], "k string, hour_ts timestamp_ntz, v int"), ["k"], "hour_ts")
     assert {(r["k"], r["v"]) for r in newest.collect()} == {("p", 6), ("q", 7)}
+
+
+def test_replica_keys_never_meet(spark):
+    rows = [(5, 1.0, datetime(2024, 1, 1)), (1005, 2.0, datetime(2024, 1, 1)), (0, 3.0, datetime(2024, 1, 1))]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "k long, plant int, value double, hour_ts timestamp_ntz")
+    out = ft.replicate_plants(df, 2, "plant", ["value"], ["k"])
+    assert out.select("plant").distinct().count() == 9 and dict(out.dtypes)["plant"] == "int"
+    assert {r["plant"] for r in out.where("not is_synthetic").collect()} == {0, 5, 1005}
+
+
+def test_lab_mean_keeps_its_decimals(spark):
+    rows = [(datetime(2024, 1, 1), 1.23456789)] * 3 + [(datetime(2024, 1, 1, 1), 0.1234567891), (datetime(2024, 1, 1, 1), 99999.0)]
+    df = spark.createDataFrame([(1, *r) for r in rows], "plant int, hour_ts timestamp_ntz, silica double")
+    got = {r["hour_ts"].hour: r["silica"] for r in hr.lab_hourly(df, ["plant", "hour_ts"], ["silica"]).collect()}
+    assert got[0] == 1.23456789 and got[1] == pytest.approx((0.1234567891 + 99999.0) / 2, abs=1e-10)
+    with pytest.raises(ValueError):
+        hr.lab_hourly(df, ["plant", "hour_ts"], ["silica"], scale=12)

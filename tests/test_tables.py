@@ -163,3 +163,49 @@ def test_pipeline_health_and_scale_report(spark):
     assert last.first()["scale"] == 10
     assert rate.first()["pass_rate"] == 0.5
     assert {r["scale"]: r["seconds"] for r in rp.scale_report(runs).collect()} == {1: 3600.0, 10: 10800.0}
+
+
+@pytest.fixture
+def named(spark, tmp_path):
+    """Tables by name in the session catalog, with a database of their own."""
+    name = f"t{os.urandom(4).hex()}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/db'")
+    cfg = Config()
+    cfg.catalog.name = "spark_catalog"
+    cfg.catalog.schema_bronze = cfg.catalog.schema_silver = cfg.catalog.schema_gold = name
+    yield Tables(spark, cfg)
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_named_tables_keep_other_batches(spark, named):
+    for n in (3, 2):
+        named.replace_partitions(spark.range(n).withColumn("_batch_id", F.lit("b1")), "bronze", "t", ["_batch_id"])
+        named.replace_partitions(spark.range(5).select(F.lit("b2").alias("_batch_id"), "id"), "bronze", "t", ["_batch_id"])
+    assert named.as_of_batch("bronze", "t", "b1").count() == 2
+    assert named.read("bronze", "t").count() == 7
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+@pytest.mark.parametrize("parts", [(), ("month",)])
+def test_named_upsert(spark, named, parts):
+    def rows(*items):
+        return spark.createDataFrame(list(items), "k int, v int, month int")
+
+    named.upsert(rows((1, 1, 3), (2, 2, 3), (3, 3, 4)), "gold", "t", ["k"], parts)
+    for _ in range(2):
+        named.upsert(rows((2, 20, 3), (5, 5, 5)), "gold", "t", ["k"], parts)
+        assert {tuple(r) for r in named.read("gold", "t").select("k", "v", "month").collect()} == {(1, 1, 3), (2, 20, 3), (3, 3, 4), (5, 5, 5)}
+
+
+def test_upsert_evaluates_its_source_once(spark, tables):
+    tables.upsert(spark.createDataFrame([(1, 1, 3)], "k int, v int, month int"), "gold", "t", ["k"], ["month"])
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    source = spark.createDataFrame([(1, 2, 3), (4, 4, 4)], "k int, v int, month int").mapInArrow(count, "k int, v int, month int")
+    tables.upsert(source, "gold", "t", ["k"], ["month"])
+    assert seen.value == 2
