@@ -36,23 +36,24 @@ CHUNKS = (
 
 # ---- planes -----------------------------------------------------------------------------
 def to_planes(ids: np.ndarray, layout: str = "byte", level: int = 3) -> list[bytes]:
-    raw = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
+    ids = ids.astype(np.uint32, copy=False)
+    planes = [(ids >> np.uint32(8 * k)).astype(np.uint8) for k in range(4)]
     if layout == "bit":
-        planes = np.packbits(np.unpackbits(raw, axis=1, bitorder="little"), axis=0, bitorder="little").T
-    else:
-        planes = raw.T
+        planes = [np.packbits((p >> k) & 1, bitorder="little") for p in planes for k in range(8)]
     z = zstandard.ZstdCompressor(level=level)
-    return [z.compress(np.ascontiguousarray(p).tobytes()) for p in planes]
+    return [z.compress(p.tobytes()) for p in planes]
 
 
 def from_planes(planes: list[bytes], n: int, layout: str = "byte") -> np.ndarray:
     z = zstandard.ZstdDecompressor()
-    rows = np.stack([np.frombuffer(z.decompress(p), np.uint8) for p in planes])
+    parts = [np.frombuffer(z.decompress(p), np.uint8) for p in planes]
     if layout == "bit":
-        raw = np.packbits(np.unpackbits(rows.T, axis=0, bitorder="little", count=n), axis=1, bitorder="little")
-    else:
-        raw = rows.T
-    return np.ascontiguousarray(raw).view("<u4").reshape(-1)
+        parts = [np.unpackbits(p, bitorder="little", count=n) for p in parts]
+    width, out = 8 * 4 // len(parts), np.zeros(n, "<u4")
+    for k, p in enumerate(parts):
+        if p.any():
+            out |= p.astype("<u4") << np.uint32(k * width)
+    return out
 
 
 # ---- encoding ---------------------------------------------------------------------------
@@ -81,7 +82,8 @@ class Encoder:
         return len(token.encode()) if token is None or i in added else len(token)
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        # the batch call can leave out the offsets of the tokens
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def units(self, missing: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units that begin with a space or line feed, and how many each has, from one encoding of all of them in a row."""
