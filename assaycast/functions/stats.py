@@ -58,6 +58,12 @@ def exact_percentiles(
     along = Window.partitionBy(*keys, "_i").orderBy("_v")
     rank = F.col("_q") * (F.col("_all") - 1)
     ranked = near.withColumn("_cum", F.sum("_c").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    # the rows outside a bracket are one line each: a rank inside such a line means that the bracket missed it
+    missed = ((F.col("_zone") == -1) & (F.floor(rank) < F.col("_cum") - 1)) | (
+        (F.col("_zone") == 1) & (F.ceil(rank) > F.col("_cum") - F.col("_c"))
+    )
+    checked = F.when(missed, F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")).otherwise(F.col("_v"))
+    ranked = ranked.withColumn("_v", checked)
     ranked = ranked.withColumns(
         {
             "_low": F.when(F.col("_cum") > F.floor(rank), F.col("_v")),

@@ -35,8 +35,9 @@ def row_flags(
     after = flat_rows - 1 if flat else 0
     size = max(segment_rows, before, after)
     numbered = with_ordinals(df, keys, order, chunk).drop("from_end")
-    out = with_segments(numbered, "ordinal", size, before, after)
     group = [*keys, "_segment"]
+    # one shuffle by run serves all windows below, those by block inside a run too
+    out = with_segments(numbered, "ordinal", size, before, after).repartition(*group)
 
     if spike:
         out = with_frame_moments(out, group, "ordinal", values, spike_rows, "prior", current=False)

@@ -83,7 +83,8 @@ def psi(
 ) -> DataFrame:
     """Population stability index per feature over the training deciles.
 
-    ``feature`` is a bounded set of names; the values of each are only counted per bin.
+    ``feature`` is a bounded set of names, so the edges are one small map and each value finds its bin where it
+    lies: rows are counted per feature and bin before any shuffle.
     """
     shares = {f"_e{i}": i / bins for i in range(1, bins)}
     edges = exact_percentiles(train, value, shares, [feature]).select(
@@ -92,7 +93,9 @@ def psi(
     rows = train.select(feature, value, F.lit(1).alias("_t")).unionByName(
         current.select(feature, value, F.lit(0).alias("_t"))
     )
-    placed = rows.where(F.col(value).isNotNull()).join(edges, feature)
+    table = edges.agg(F.map_from_entries(F.collect_list(F.struct(feature, "_edges")))).scalar()
+    placed = rows.where(F.col(value).isNotNull()).withColumn("_edges", F.try_element_at(table, F.col(feature)))
+    placed = placed.where(F.col("_edges").isNotNull())
     bin_no = F.size(F.filter("_edges", lambda e: e < F.col(value)))
     counts = placed.groupBy(feature, bin_no.alias("_bin")).agg(
         F.count_if(F.col("_t") == 1).alias("_p"), F.count_if(F.col("_t") == 0).alias("_q")

@@ -12,6 +12,7 @@ from assaycast.config import KEY_SENSORS, Config
 from assaycast.functions.columns import split_label
 from assaycast.operators import features as ft
 from assaycast.operators import metrics as mt
+from assaycast.operators import quality as ql
 from assaycast.operators.calendar import HOUR
 from assaycast.operators.health import hour_confidence
 from assaycast.operators.hourly import hourly_stats
@@ -74,6 +75,20 @@ def pipeline_health(spark: SparkSession, cfg: Config) -> tuple[DataFrame, DataFr
     return last, rate, rp.model_health(nowcast, KEYS)
 
 
+def data_freshness(spark: SparkSession, cfg: Config) -> DataFrame:
+    """Latest hour, its age in hours and the rows of each stored layer of readings."""
+    t = Tables(spark, cfg)
+    lines = None
+    for layer, name in (("silver", "process_readings"), ("gold", "fact_process_hourly"), ("gold", "fact_predictions")):
+        df = t.read(layer, name)
+        rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+        line = ql.freshness_hours(df, HOUR, F.current_timestamp()).select(
+            F.lit(name).alias("table_name"), "latest_hour", "age_hours", rows.alias("n_rows")
+        )
+        lines = line if lines is None else lines.unionByName(line)
+    return lines
+
+
 def replay_as_of(spark: SparkSession, cfg: Config, hour: str) -> DataFrame:
     t = Tables(spark, cfg)
     return rp.replay_as_of(pl.current_predictions(t), _lab(t), KEYS, SILICA, hour, cfg.ml.lab_delay_hours)
