@@ -7,8 +7,9 @@ register with the probability Jaccard similarity of their weights. Texts that ag
 are candidates; they are verified on their sets of shingles: Jaccard similarity of ``SIMILARITY`` or more.
 
 Equal texts are one node from the start. In a bucket nobody is paired with everybody: every node meets one leader of
-its buckets, then, in rounds, further leaders of those buckets that still hold several components, until no
-pair of a leader and a node of another component is open and every node of such a bucket has led.
+its buckets, then a few leaders of each bucket that still holds several components. What is left apart is few, and
+is compared exactly inside tiles of a bucket, which give out only links that join components; members are ordered
+by component, and tiles of one component are left out.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from assaycast.sources.tables import cut_lineage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 6
-#: Leaders of a bucket in the first of the further rounds, and how many times as many the next round has.
-LEADERS, GROWTH = 8, 8
+#: Leaders of a bucket in the second round, and texts along each side of a tile.
+LEADERS, TILE = 4, 256
 SHINGLE_BASE = 0xC6A4A7935BD1E995
 
 
@@ -158,15 +159,80 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return rated.where(F.col("s") >= similarity).select("a", "b")
 
 
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, d, node, root`` of the buckets that hold several components."""
+    placed = members.join(roots, "node", "left").select("key", "d", "node", F.coalesce("root", "node").alias("root"))
+    split = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("key")
+    return cut_lineage(placed.join(split, "key", "left_semi"), "near-open")
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set of distinct hashes."""
+    keys = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in [*left, *right]])
+    order = np.argsort(keys, kind="stable")
+    keys, owner = keys[order], owner[order]
+    column = np.cumsum(np.diff(keys, prepend=keys[:1]) != 0)
+    often = np.bincount(column)[column] > 1
+    column, owner = column[often], owner[often]
+    out = np.zeros((len(left), len(right)))
+    heads = np.flatnonzero(np.diff(column, prepend=-1))
+    for i in range(0, len(heads), 4096):
+        a, z = heads[i], heads[i + 4096] if i + 4096 < len(heads) else len(column)
+        part = np.zeros((len(left) + len(right), min(4096, len(heads) - i)), np.float32)
+        part[owner[a:z], np.cumsum(np.diff(column[a:z], prepend=column[a]) != 0)] = 1
+        out += part[: len(left)] @ part[len(left) :].T
+    return out
+
+
+def _tiles(placed: DataFrame, sets: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Links ``a, b`` between different components of a bucket, found tile by tile."""
+    order = Window.partitionBy("key").orderBy("root", "node")
+    blocked = placed.withColumn("block", F.floor((F.row_number().over(order) - 1) / size).cast("int")).select("key", "block", "node", "root")
+    blocked = cut_lineage(blocked, "near-blocks")
+    block = blocked.groupBy("key", "block").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+    x, y = block.alias("x"), block.alias("y")
+    apart = "x.block <= y.block and not (x.r1 = x.r2 and x.r1 = y.r1 and x.r1 = y.r2)"
+    tiles = x.join(y, "key").where(apart).select("key", F.col("x.block").alias("i"), F.col("y.block").alias("j"))
+    ends = F.explode(F.array_distinct(F.array("i", "j")))
+    rows = tiles.select("key", "i", "j", ends.alias("block")).join(blocked, ["key", "block"]).join(sets, "node")
+
+    def compare(t: pa.Table) -> pa.Table:
+        blocks = t["block"].to_numpy()
+        nodes, roots = t["node"].to_pylist(), t["root"].to_pylist()
+        hashes = [np.frombuffer(s, U) for s in t["shingles"].to_pylist()]
+        i, j = t["i"][0].as_py(), t["j"][0].as_py()
+        left, right = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
+        both = overlaps([hashes[k] for k in left], [hashes[k] for k in right])
+        n = np.array([len(h) for h in hashes])
+        near = both >= similarity * (n[left][:, None] + n[right][None, :] - both) - 1e-9
+        seen: dict = {}
+
+        def find(r):
+            while seen.get(r, r) != r:
+                r = seen[r]
+            return r
+
+        links = []
+        for p, q in zip(*np.nonzero(near)):
+            a, b = left[p], right[q]
+            ra, rb = find(roots[a]), find(roots[b])
+            if ra != rb:
+                seen[ra] = rb
+                links.append((nodes[a], nodes[b]))
+        return pa.table({"a": pa.array([v[0] for v in links], pa.binary()), "b": pa.array([v[1] for v in links], pa.binary())})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, n_bands: int = BANDS,
-    rows: int = ROWS, leaders: int = LEADERS,
+    rows: int = ROWS, leaders: int = LEADERS, tile: int = TILE,
 ) -> DataFrame:
-    """``doc_id, text_class, class_id, class_size, n_links, text_hash`` of every row.
+    """``doc_id, text_class, class_id, class_size, text_hash`` of every row.
 
     ``class_id`` is the least id of the texts linked, over any number of links, to this one; ``text_class`` the least id
-    of the documents with the same words; ``n_links`` the number of different texts this text was verified
-    against and found similar. Null texts and texts without words are classes of their own. The least id is that of
+    of the documents with the same words. Null texts and texts without words are classes of their own. The least id is that of
     non-null ids, if there is one; ``text_hash`` is xxhash64 of the text. Rows that repeat are copies of each other and come back as often as they came.
     """
     base = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
@@ -176,47 +242,44 @@ def near_duplicates(
     )
     texts = cut_lineage(texts, "near-texts")
     exploded = texts.select("node", F.explode("bands").alias("key"))
-    buckets = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
-    members = cut_lineage(exploded.join(buckets, "key").select("key", "node", "leader"), "near-buckets")
+    buckets = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = cut_lineage(exploded.join(buckets, "key").select("key", "node", "n"), "near-shared")
+    # the text that others were made from shares most buckets with them: it leads first (least ``d``)
+    degree = shared.groupBy("node").agg((-F.sum("n")).alias("d"))
+    members = cut_lineage(shared.join(degree, "node").select("key", "d", "node"), "near-buckets")
     wanted = texts.join(members.select("node").distinct(), "node", "left_semi").select("wanted_id", "node")
     sets = _sets(base, wanted)
 
-    # first round: each node and the least leader of its buckets
-    pairs = members.where(F.col("node") != F.col("leader")).groupBy("node").agg(F.min("leader").alias("b")).select(F.col("node").alias("a"), "b")
+    # first round: each node and the first leader of its buckets
+    first = members.groupBy("key").agg(F.min(F.struct("d", "node")).alias("leader"))
+    led = members.join(first, "key").where(F.col("node") != F.col("leader.node")).groupBy("node").agg(F.min("leader").alias("leader"))
+    pairs = led.select(F.greatest("node", "leader.node").alias("a"), F.least("node", "leader.node").alias("b")).distinct()
     tried = cut_lineage(pairs, "near-tried")
     links = cut_lineage(_verify(tried, sets, similarity), "near-links")
-    roots, before, step = components(links), 0, leaders
-    members = members.select("key", "node")
-    while True:
-        # buckets that still hold several components, and their next leaders
-        placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        split = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n"))
-        split = split.where((F.col("r1") != F.col("r2")) & (F.col("n") > before)).select("key")
-        placed = cut_lineage(placed.join(split, "key", "left_semi"), "near-open")
-        if placed.isEmpty():
-            break
-        place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        lead = placed.withColumn("i", place).where((F.col("i") > before) & (F.col("i") <= before + step)).drop("i")
-        met = placed.alias("p").join(lead.alias("l"), "key").where("p.root != l.root")
-        pairs = met.select(F.greatest("p.node", "l.node").alias("a"), F.least("p.node", "l.node").alias("b")).distinct()
-        pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        new = cut_lineage(_verify(pairs, sets, similarity), "near-links")
-        tried, links = tried.unionByName(pairs), links.unionByName(new)
-        members = placed.select("key", "node")
-        if not new.isEmpty():
-            roots = components(links)
-        before, step = before + step, step * GROWTH
-
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-    counts = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    roots = components(links)
+
+    # second round: some more leaders of the buckets that still hold several components
+    placed = _open(members, roots)
+    place = F.row_number().over(Window.partitionBy("key").orderBy("d", "node"))
+    lead = placed.withColumn("i", place).where(F.col("i") <= leaders).drop("i")
+    met = placed.alias("p").join(lead.alias("l"), "key").where("p.root != l.root")
+    pairs = met.select(F.greatest("p.node", "l.node").alias("a"), F.least("p.node", "l.node").alias("b")).distinct()
+    pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    links = links.unionByName(cut_lineage(_verify(pairs, sets, similarity), "near-links"))
+    roots = components(links)
+
+    # the rest: what the leaders left apart is compared inside tiles of the bucket
+    links = links.unionByName(cut_lineage(_tiles(_open(members, roots), sets, similarity, tile), "near-links"))
+    roots = components(links)
+
     placed = texts.select("node", "wanted_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = placed.groupBy("root").agg(F.min("wanted_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    of_text = placed.join(classes, "root").join(counts, "node", "left")
+    of_text = placed.join(classes, "root")
     out = signed.select("id", "text_hash", "node").join(of_text, "node", "left")
     single = F.col("node").isNull()
     return out.select(
         F.col("id").alias(doc_id), F.when(single, F.col("id")).otherwise(F.col("wanted_id")).alias("text_class"),
         F.when(single, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(single, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_hash",
+        "text_hash",
     )
