@@ -111,6 +111,20 @@ _RULES = "\n".join(
 )
 
 ORACLE = {
+    "op2_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+k AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS again FROM k),
+covered AS (SELECT DISTINCT doc_id, i + unnest(range(0, 20)) AS pos FROM f WHERE again),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+kept AS (
+  SELECT doc_id, count(c.pos) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE c.pos IS NULL) AS left_over
+  FROM words LEFT JOIN covered c USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(left_over, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
     "op3_url_filters": f"""
 WITH rules AS ({_RULES}),
 cut AS (
