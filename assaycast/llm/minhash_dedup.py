@@ -229,11 +229,13 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, n_bands: int = BANDS,
     rows: int = ROWS, leaders: int = LEADERS, tile: int = TILE,
 ) -> DataFrame:
-    """``doc_id, text_class, class_id, class_size, text_hash`` of every row.
+    """``doc_id, text_class, class_id, class_size, text_hash, class_key`` of every row.
 
     ``class_id`` is the least id of the texts linked, over any number of links, to this one; ``text_class`` the least id
     of the documents with the same words. Null texts and texts without words are classes of their own. The least id is that of
     non-null ids, if there is one; ``text_hash`` is xxhash64 of the text. Rows that repeat are copies of each other and come back as often as they came.
+    Where ids are null or repeat, several classes can have one ``class_id``; ``class_key`` tells classes apart: the least
+    node of the class, for texts without words a hash of id and text.
     """
     base = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     signed = cut_lineage(signatures(base, n_bands, rows), "near-signatures")
@@ -277,9 +279,10 @@ def near_duplicates(
     of_text = placed.join(classes, "root")
     out = signed.select("id", "text_hash", "node").join(of_text, "node", "left")
     single = F.col("node").isNull()
+    alone = F.unhex(F.sha2(F.to_json(F.struct("id", "text_hash")), 256))
     return out.select(
         F.col("id").alias(doc_id), F.when(single, F.col("id")).otherwise(F.col("wanted_id")).alias("text_class"),
         F.when(single, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(single, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"),
-        "text_hash",
+        "text_hash", F.when(single, alone).otherwise(F.col("root")).alias("class_key"),
     )

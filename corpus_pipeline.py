@@ -34,10 +34,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the least id; a row that repeats it goes as well."""
+    """One document of each class of near-duplicates, the one with the least id, null after all others; a row that repeats it goes as well."""
     ship(spark)
     classes = minhash_dedup.near_duplicates(docs)
-    chosen = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("text_hash").alias("class_hash"))
+    # not by class_id: unrelated texts with null or repeated ids share it
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("class_id"), F.col("text_hash").alias("class_hash")))
+    chosen = classes.groupBy("class_key").agg(least.alias("chosen")).select("chosen.class_id", "chosen.class_hash")
     same = (F.col("hash") == F.col("class_hash")) & F.col("id").eqNullSafe(F.col("class_id"))
     met = _rows(docs).join(chosen, same).select("row", "id", "hash")
     # of equal rows one: they stand together since the join

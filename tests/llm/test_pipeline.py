@@ -76,3 +76,17 @@ def test_run_and_empty_table(shipped, folder, tmp_path):
     for _, stage in cp.STAGES:
         empty.write.mode("overwrite").parquet(str(tmp_path / "none"))
         assert stage(shipped, shipped.read.parquet(str(tmp_path / "none")), folder).count() == 0
+
+
+def test_near_dedup_keeps_different_texts_of_one_id(shipped, prose):
+    null = [(None, prose(800 + k, 60, 3000)) for k in range(5)] + [(None, ""), (None, " "), (None, None)]
+    one = [(7, prose(810 + k, 60, 3000)) for k in range(3)] + [(7, "")]
+    copies = [(None, null[0][1]), (None, null[1][1] + " x"), (8, null[2][1]), (9, one[0][1] + " x"), (7, one[1][1])]
+    docs = shipped.createDataFrame([(i, t, "en", "a", 0) for i, t in null + one + copies], COLUMNS)
+    got = [(r["doc_id"], r["text"]) for r in cp.near_dedup(shipped, docs, "").collect()]
+    # of two near-copies with a null id, either may stay
+    pair = {null[1], copies[1]}
+    assert len(got) == len(set(got)) == 12 and len(pair & set(got)) == 1
+    assert set(got) - pair == {*null, *one, (8, null[2][1])} - pair - {null[2]}
+    classes = minhash_dedup.near_duplicates(docs)
+    assert classes.select("class_key").distinct().count() == 12 and classes.where("class_key is null").isEmpty()
