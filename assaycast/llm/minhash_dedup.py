@@ -1,10 +1,10 @@
 """Near-duplicate texts by ProbMinHash signatures, banding and exact verification.
 
-A text is the set of its five-word shingles, each weighted 1 + ln(times it comes), so that repeats count little. Every
-shingle starts a Poisson process of its weight; each arrival falls on a random register, a register keeps the
-earliest arrival's shingle, and a process ends once it is later than all registers hold. Two texts agree in a
-register with the probability Jaccard similarity of their weights. Texts that agree in all registers of a band
-are candidates; they are verified on their sets of shingles: Jaccard similarity of ``SIMILARITY`` or more.
+A text is the set of its five-word shingles. Every shingle starts a Poisson process of its weight; each arrival falls
+on a random register, a register keeps the earliest arrival's shingle, and a process ends once it is later than all
+registers hold. Two texts agree in a register with the probability Jaccard similarity of their weights. All weights
+are 1, however often a shingle comes, so this is the Jaccard similarity of the sets, the measure that candidates are
+verified by: ``SIMILARITY`` or more. Texts that agree in all registers of a band are candidates.
 
 Equal texts are one node from the start. In a bucket nobody is paired with everybody: every node meets one leader of
 its buckets, then a few leaders of each bucket that still holds several components. What is left apart is few, and
@@ -14,6 +14,8 @@ by component, and tiles of one component are left out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -89,8 +91,16 @@ def bands(signature: np.ndarray, n: int, rows: int) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, n: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``id, text_hash, node, bands``: node, 16 bytes, stands for the sequence of words; without words both are null. docs: ``id, text_hash, text``."""
+def set_weights(counts: np.ndarray) -> np.ndarray:
+    """Weight 1 for every shingle of a text."""
+    return np.ones(len(counts))
+
+
+def signatures(docs: DataFrame, n: int = BANDS, rows: int = ROWS, weights: Callable[[np.ndarray], np.ndarray] = set_weights) -> DataFrame:
+    """``id, text_hash, node, bands``: node, 16 bytes, stands for the sequence of words; without words both are null. docs: ``id, text_hash, text``.
+
+    ``weights`` gives the weights of shingles from the times that they come in their text.
+    """
 
     def run(batches):
         for b in batches:
@@ -98,7 +108,7 @@ def signatures(docs: DataFrame, n: int = BANDS, rows: int = ROWS) -> DataFrame:
                 w = Words(data, off)
                 keys, counts, sizes = shingles(w)
                 full = np.flatnonzero(sizes)
-                key = bands(prob_min_hash(keys, 1 + np.log(counts), sizes[full], n * rows), n, rows)
+                key = bands(prob_min_hash(keys, weights(counts), sizes[full], n * rows), n, rows)
                 raw = data.tobytes()
                 nodes = [xxhash.xxh3_128_digest(b" ".join(raw[a:z].split())) if s else None for a, z, s in zip(off[:-1], off[1:], sizes)]
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, n, 0))])
@@ -227,7 +237,7 @@ def _tiles(placed: DataFrame, sets: DataFrame, similarity: float, size: int) ->
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, n_bands: int = BANDS,
-    rows: int = ROWS, leaders: int = LEADERS, tile: int = TILE,
+    rows: int = ROWS, leaders: int = LEADERS, tile: int = TILE, weights: Callable[[np.ndarray], np.ndarray] = set_weights,
 ) -> DataFrame:
     """``doc_id, text_class, class_id, class_size, text_hash, class_key`` of every row.
 
@@ -235,10 +245,11 @@ def near_duplicates(
     of the documents with the same words. Null texts and texts without words are classes of their own. The least id is that of
     non-null ids, if there is one; ``text_hash`` is xxhash64 of the text. Rows that repeat are copies of each other and come back as often as they came.
     Where ids are null or repeat, several classes can have one ``class_id``; ``class_key`` tells classes apart: the least
-    node of the class, for texts without words a hash of id and text.
+    node of the class, for texts without words a hash of id and text. ``weights`` only affects which texts become
+    candidates; other than 1, they find fewer of the pairs whose sets are similar.
     """
     base = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    signed = cut_lineage(signatures(base, n_bands, rows), "near-signatures")
+    signed = cut_lineage(signatures(base, n_bands, rows, weights), "near-signatures")
     texts = signed.where("node is not null").groupBy("node").agg(
         F.min("id").alias("wanted_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")
     )

@@ -114,3 +114,16 @@ def test_overlaps_of_sets():
     sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in (1, 40, 3000, 6000, 2)]
     want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets[2:]] for a in sets[:3]]
     assert mh.overlaps(sets[:3], sets[2:]).tolist() == want
+
+
+def test_repeats_in_one_text_do_not_hide_a_pair(shipped, prose):
+    # one text of a pair repeats a line of 20 words 100 times; two words of the rest differ
+    rows = []
+    for k in range(60):
+        line, rest = prose(5000 + k, 20, 90000), words(prose(6000 + k, 90, 90000))
+        other = [*rest[:30], "edit", *rest[31:60], "edit", *rest[61:]]
+        rows += [(2 * k, f"{line}\n{line}\n{' '.join(rest)}"), (2 * k + 1, f"{line}\n" * 100 + " ".join(other))]
+    own = [sets(t) for _, t in rows]
+    assert all(0.8 <= jaccard(own[2 * k], own[2 * k + 1]) < 0.9 for k in range(60))
+    got = mh.near_duplicates(shipped.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 120 and all(r["class_id"] == r["doc_id"] // 2 * 2 for r in got)
