@@ -62,6 +62,8 @@ STAGES = [
 
 BUSINESS_COLUMNS = ["hour_ts"] + NUMERIC_COLUMNS
 CANONICAL = dict(zip(RAW_HEADER, BUSINESS_COLUMNS))
+#: Full text of a line whose number of fields is not that of the header
+RAGGED = "_ragged_line"
 
 
 @dataclass

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaycast.config import BUSINESS_COLUMNS, CANONICAL, NUMERIC_COLUMNS, Config
+from assaycast.config import BUSINESS_COLUMNS, CANONICAL, NUMERIC_COLUMNS, RAGGED, Config
 from assaycast.functions.columns import in_range, is_blank, parse_decimal, parse_hour
 
 
@@ -127,9 +127,14 @@ def plant_rules(cfg: Config) -> dict[str, Column]:
 
 
 def disposed_rows(bronze: DataFrame, cfg: Config) -> DataFrame:
-    """Duplicates out (counted), then one disposition per remaining row."""
-    first = dedup_keep_first(bronze, BUSINESS_COLUMNS, ["_source_file", "_row_number"])
-    return with_disposition(parse_rows(first), plant_rules(cfg))
+    """Duplicates out (counted), then one disposition per remaining row.
+
+    A ragged line is a copy only of the same line, and fails DQ01: its values may stand in the wrong columns.
+    """
+    if RAGGED not in bronze.columns:
+        bronze = bronze.withColumn(RAGGED, F.lit(None).cast("string"))
+    first = dedup_keep_first(bronze, [*BUSINESS_COLUMNS, RAGGED], ["_source_file", "_row_number"])
+    return with_disposition(parse_rows(first), {"DQ01": F.col(RAGGED).isNotNull(), **plant_rules(cfg)})
 
 
 # ---- results ------------------------------------------------------------------------------

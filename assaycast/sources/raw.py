@@ -6,21 +6,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assaycast.config import RAW_HEADER
+from assaycast.config import RAGGED, RAW_HEADER
 from assaycast.operators.quality import check_contract
 
 META = ["_source_file", "_ingested_at", "_row_number", "_batch_id"]
 
 
-def read_raw(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, required: list[str] | None = None, ragged: str | None = None) -> DataFrame:
     """CSV with every column as text. Each file's header is checked against the contract (DQ01).
 
     Types are never inferred; only the header line is read ahead. ``_metadata`` stays available.
+    The column ``ragged``, if named, has the full text of a line with more or fewer fields than the header, else null.
     """
     header = spark.read.option("header", True).csv(path).columns
     check_contract(header, required or RAW_HEADER)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if ragged:
+        schema, reader = schema.add(ragged, T.StringType()), reader.option("columnNameOfCorruptRecord", ragged)
+    return reader.schema(schema).csv(path)
 
 
 def with_load_metadata(df: DataFrame) -> DataFrame:
@@ -63,4 +67,4 @@ def with_row_number(df: DataFrame) -> DataFrame:
 
 
 def bronze_rows(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
-    return with_row_number(with_load_metadata(read_raw(spark, path, required)))
+    return with_row_number(with_load_metadata(read_raw(spark, path, required, RAGGED)))

@@ -188,3 +188,23 @@ def test_header_without_case(spark, tmp_path):
     lines = plant_lines(days=1)[:12]
     cfg = plant_config(tmp_path / "w", write_csv(tmp_path / "p.csv", lines, [h.upper() for h in RAW_HEADER]))
     assert pl.run_pipeline(spark, cfg, ["ingest_bronze"])[0].rows_out == 12
+
+
+def test_ragged_lines_are_quarantined_with_their_text(spark, tmp_path):
+    lines = plant_lines(days=1)[:12]
+    path = write_csv(tmp_path / "p.csv", lines)
+    quoted = [",".join(f'"{v}"' for v in x) for x in lines]
+    # an extra field, the same line twice, another extra field, an unquoted decimal comma, a short line
+    ragged = [quoted[0] + ",3", quoted[0] + ",3", quoted[0] + ',"4,5"', ",".join(lines[1]), quoted[2].rsplit(",\"", 1)[0]]
+    with open(path, "a", newline="") as f:
+        f.write("".join(x + "\r\n" for x in ragged))
+    cfg = plant_config(tmp_path / "w", path)
+    pl.run_pipeline(spark, cfg, ["ingest_bronze", "build_silver"])
+    t = Tables(spark, cfg)
+    bronze = t.read("bronze", "flotation_raw").orderBy("_row_number").collect()
+    assert [r["_ragged_line"] for r in bronze] == [None] * 12 + ragged
+    bad = t.read("silver", "quarantine").collect()
+    assert sorted((r["raw_line"], r["rule_id"], r["copies"]) for r in bad) == sorted((x, "DQ01", ragged.count(x)) for x in set(ragged))
+    assert t.read("silver", "process_readings").count() == 12
+    line = ql.reconcile(t.read("bronze", "flotation_raw"), t.read("silver", "disposed_rows")).first()
+    assert line["balanced"] and line["bronze_rows"] == 17
