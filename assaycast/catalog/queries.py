@@ -643,7 +643,7 @@ def shapley_drivers(spark, sf):
     rows = stored_model_rows(spark, sf)
     fitted = md.fit_forest(rows.where("split = 'train'"), model_inputs(rows), 10, 4)
     groups = {s: [c for c in fitted.columns if c.startswith(s)] for s in [*PROCESS, "lab", "feed"]}
-    parts = md.group_contributions(fitted, rows.where("split = 'test'"), ["plant", HOUR], groups, 2)
+    parts = md.group_contributions(fitted, rows.where("split = 'test'"), ["plant", HOUR], groups)
     return mt.top_drivers(parts, ["plant", HOUR], 3)
 
 

@@ -210,22 +210,27 @@ def ridge_weights(fitted: Fitted) -> dict[str, float]:
 
 
 def group_contributions(
-    fitted: Fitted, feat: DataFrame, keys: Sequence[str], groups: dict[str, list[str]], permutations: int = 2, seed: int = 7
+    fitted: Fitted, feat: DataFrame, keys: Sequence[str], groups: dict[str, list[str]], permutations: int = 10, seed: int = 7
 ) -> DataFrame:
     """Sampled Shapley values of feature groups for any model.
 
     Each row is scored along ``permutations`` orders of the groups, switching one group after another
-    from the training mean to the row's value; a group's share is the mean change at its switch. The
-    copies per row are permutations x (groups + 1), fixed by the configuration.
+    from the training mean to the row's value; a group's share is the mean change at its switch. Every
+    second order is the one before it reversed, which is exact where groups interact by twos; an odd
+    number leaves the last order without its reverse. The copies per row are permutations x (groups + 1),
+    fixed by the configuration.
     """
     import random
 
     rng = random.Random(seed)
     names = sorted(groups)
     steps, orders = [], []
+    order = names[:]
     for p in range(permutations):
-        order = names[:]
-        rng.shuffle(order)
+        if p % 2:
+            order.reverse()
+        else:
+            rng.shuffle(order)
         orders.append({g: i + 1 for i, g in enumerate(order)})
         steps += [(p, s) for s in range(len(names) + 1)]
     place = [[pos[g] for g in names] for pos in orders]

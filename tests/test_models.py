@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from assaycast.operators import features as ft
@@ -119,3 +121,16 @@ def test_hash_ignores_the_order_of_columns():
     from assaycast.functions.columns import features_hash
 
     assert features_hash(["a", "b"]) == features_hash(["b", "a"]) != features_hash(["a"])
+
+
+def test_orders_come_with_their_reverse(spark):
+    class Products:
+        def transform(self, df):
+            x = vector_to_array("features")
+            return df.withColumn("prediction", x[0] * x[1] + x[1] * x[2] + 3 * x[2])
+
+    fitted = SimpleNamespace(columns=["a", "b", "c"], means={"a": 0.0, "b": 0.0, "c": 0.0}, pipeline=Products())
+    feat = spark.createDataFrame([(1, 2.0, 3.0, 5.0)], "k int, a double, b double, c double")
+    for permutations in ({}, {"permutations": 2}):
+        got = md.group_contributions(fitted, feat, ["k"], {"a": ["a"], "b": ["b"], "c": ["c"]}, **permutations).collect()
+        assert {r["feature"]: r["contribution"] for r in got} == pytest.approx({"a": 3.0, "b": 10.5, "c": 22.5})
