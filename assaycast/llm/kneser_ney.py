@@ -1,8 +1,9 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The units are bytes: a gram is the last ``ORDER`` bytes as one number, exact and without hashing, and text starts
-after zero bytes. Counts come from all trusted texts. Everything of the size of the model stays in tables sharded by
-gram: each chunk of documents (a split of the input) asks for its distinct grams, the probabilities are joined
+after zero bytes. Counts come from four fifths of the trusted documents, by a hash of the id; the fifth held out
+(``HELD_OUT``) is never counted and only sets the thresholds, so a language with few trusted texts can lose most of
+them to that side. Everything of the size of the model stays in tables sharded by gram: each chunk of documents (a split of the input) asks for its distinct grams, the probabilities are joined
 to these from order 1 up, and the answers meet the chunk's documents again for scoring.
 
 Each language's threshold is a quantile of the scores of trusted texts that took no part in the training.
