@@ -7,9 +7,13 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaycast.llm import ann, chat_format, kneser_ney, minhash_dedup, mixing, piece_sampling, quality_rules, substring_dedup, token_store, url_filters
+from assaycast.llm import (
+    alignment, ann, chat_format, kneser_ney, minhash_dedup, mixing, packing, piece_sampling, quality_rules, substring_dedup, token_store,
+    turn_repair, url_filters,
+)
 from assaycast.llm.shipping import ship
 from assaycast.session import scratch_dir
+from assaycast.sources.tables import cut_lineage
 
 # ---- fixed values -----------------------------------------------------------------------
 URL_RULES = [
@@ -102,7 +106,51 @@ def op10_quality_classifier(spark, sf):
     return kneser_ney.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES = {f.__name__: f for f in [op1_quality_rules, op2_substring_dedup, op3_url_filters, op4_piece_sampling, op5_token_output, op6_minhash_dedup, op7_chat_formatting, op8_source_mixing, op9_nearest_neighbours, op10_quality_classifier]}
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows of conversations with one in twenty each dropped, emptied, robbed of its end marks, repeated, or given to the user."""
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(cell("conv_id"), F.lit(":"), cell("turn")).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", cell("role").alias("role"), cell("text").alias("text"), kind.alias("kind")).where("kind <> 0")
+    text = F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.col("role"))
+    times = F.when(F.col("kind") == 3, 2).otherwise(1)
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(0), times)).alias("again"))
+    return rows.drop("again")
+
+
+def repair_report(turns: DataFrame) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired rows of every conversation of ``turns``, after ``damaged``."""
+    rows = damaged(turns)
+    found = cut_lineage(turn_repair.audits(rows), "audits")
+    digests = turn_repair.repaired(rows, found, digest=True).select(F.col("conv_id").alias("d_id"), "sha256")
+    gaps = rows.groupBy("conv_id").agg((F.max("turn") - F.min("turn") + 1 - F.countDistinct("turn")).alias("gaps"))
+    gaps = gaps.select(F.col("conv_id").alias("g_id"), "gaps")
+    found = found.withColumnRenamed("conv_id", "f_id")
+    every = turns.select("conv_id").distinct()
+    met = every
+    for side, key in ((gaps, "g_id"), (found, "f_id"), (digests, "d_id")):
+        met = met.join(side, F.col("conv_id").eqNullSafe(F.col(key)), "left")
+    number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return met.select(
+        "conv_id", *map(number, ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]),
+        F.coalesce(F.array_join("parts", ""), F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op11_turn_repair(spark, sf):
+    return repair_report(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+def op12_best_fit_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op13_token_alignment(spark, sf):
+    docs = table(spark, sf, "documents")
+    return alignment.align_documents(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in [op1_quality_rules, op2_substring_dedup, op3_url_filters, op4_piece_sampling, op5_token_output, op6_minhash_dedup, op7_chat_formatting, op8_source_mixing, op9_nearest_neighbours, op10_quality_classifier, op11_turn_repair, op12_best_fit_packing, op13_token_alignment]}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _RULES = "\n".join(

@@ -27,8 +27,8 @@ from assaycast.sources.tables import cut_lineage
 
 # ---- fixed values -----------------------------------------------------------------------
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
-BLANK = "^[\\x20\\x09-\\x0D]*$"
-WHOLE = "[.!?][\\x20\\x09-\\x0D]*$"
+BLANK = "^[\\x20\\x09-\\x0D]*\\z"
+WHOLE = "[.!?][\\x20\\x09-\\x0D]*\\z"
 # -----------------------------------------------------------------------------------------
 #: States: nothing yet, after the system row, after a user row, after an assistant row.
 STATES = 4
