@@ -49,6 +49,8 @@ def search(edits: list[list[list[tuple]]], least: list[int], start: int, goal: i
     used for other starts of the same goal.
     """
     n = len(edits)
+    if not proven:
+        proven.update(_dead_ends(edits, ACCEPTING if goal is None else (goal,)))
 
     def needs(i: int, q: int) -> int:
         return max(least[i], proven.get(i * STATES + q, 0))
@@ -90,6 +92,23 @@ def search(edits: list[list[list[tuple]]], least: list[int], start: int, goal: i
     return None
 
 
+def _dead_ends(edits: list[list[list[tuple]]], goals: tuple[int, ...]) -> dict[int, int]:
+    """``NEVER`` for every state from which no edits lead to the goals; without these, insertions would be tried for ever."""
+    out: dict[int, int] = {}
+    alive = set(goals)
+    for i in range(len(edits), -1, -1):
+        if i < len(edits):
+            here = {q for q in range(STATES) if any(step and to in alive for _, step, to, _ in edits[i][q])}
+            grown = True
+            while grown:
+                more = {q for q in range(STATES) if any(not step and to in here for _, step, to, _ in edits[i][q])} - here
+                here |= more
+                grown = bool(more)
+            alive = here
+        out.update({i * STATES + q: NEVER for q in range(STATES) if q not in alive})
+    return out
+
+
 def row_edits(code: int) -> tuple[list[list[tuple]], int]:
     """Edits of a row in each state, and the least cost of any; code: 4 * initial (s, u, a, other) + fault."""
     initial, fault = divmod(code, 4)
@@ -134,10 +153,9 @@ def between(codes: bytes) -> tuple[tuple, ...]:
     for goal in range(STATES):
         proven: dict[int, int] = {}
         for start in range(STATES):
-            if (start == 0 or goal > 0) and (start <= 1 or goal != 1 or start == goal):
-                found = search(edits, least, start, goal, proven) if goal or start == 0 else None
-                if found:
-                    out.append((start, goal, found[0], "".join(found[1])))
+            found = search(edits, least, start, goal, proven)
+            if found:
+                out.append((start, goal, found[0], "".join(found[1])))
     return tuple(out)
 
 

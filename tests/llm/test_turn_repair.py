@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from functools import lru_cache
 
@@ -8,6 +9,7 @@ import pytest
 
 from assaycast.llm import catalog, turn_repair
 
+sys.setrecursionlimit(20_000)
 ROWS = "conv_id long, turn long, role string, text string"
 SPACE = " \t\n\x0b\x0c\r"
 
