@@ -342,7 +342,8 @@ def align_documents(
         names = [c.split()[0] for c in FOUND.split(", ")]
         return pa.table([new[c] if c in new else left[c] for c in names], names)
 
-    held = stored.where("pairs is not null").drop("asked", "holders")
+    # read anew: a cogroup of one relation with itself is ambiguous
+    held = spark.read.parquet(path).where("pairs is not null").drop("asked", "holders")
     return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(look_up, FOUND)
 
 
