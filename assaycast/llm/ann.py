@@ -45,6 +45,16 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component below 1: products cannot overflow, and no digit changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
+def first_of_ids(ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the first row of each id, for the k ids that come first."""
+    return np.sort(np.unique(ids, return_index=True)[1])[:k]
+
+
 @dataclass
 class Index:
     dim: int
@@ -83,10 +93,10 @@ def fit(sample: np.ndarray, rows: int, k: int, seed: int = 9) -> Index:
 
 
 def scan(q: np.ndarray, q_raw: np.ndarray, q_id: int, ids: np.ndarray, blocks: list[np.ndarray], raw: np.ndarray, lengths: np.ndarray, k: int):
-    """The k nearest of a tile to one query as (ids, scores); nearest first, ties to the smaller id."""
+    """The k nearest ids of a tile to one query as (ids, scores); nearest first, ties to the smaller id, each id with its best row."""
     dim = len(q)
     limit, kept, kept_d = np.inf, [], []
-    held = np.zeros(0)
+    held, held_ids = np.zeros(0), np.zeros(0, np.int64)
     for at in range(0, len(ids), 1024):
         rows = np.arange(at, min(at + 1024, len(ids)))
         rows = rows[ids[rows] != q_id]
@@ -104,14 +114,19 @@ def scan(q: np.ndarray, q_raw: np.ndarray, q_id: int, ids: np.ndarray, blocks: l
         kept.append(rows)
         kept_d.append(part)
         if len(rows):
-            held = np.sort(np.concatenate([held, part]))[:k]
+            # k different ids bound the search, however many rows one id has
+            held, held_ids = np.concatenate([held, part]), np.concatenate([held_ids, ids[rows]])
+            order = np.argsort(held, kind="stable")
+            order = order[first_of_ids(held_ids[order], k)]
+            held, held_ids = held[order], held_ids[order]
             if len(held) == k:
                 limit = held[-1]
     rows, part = np.concatenate(kept), np.concatenate(kept_d)
     rows = rows[part <= limit + 1e-12]
     # sums along rows, so that equal vectors get equal scores wherever they stand
     score = (raw[rows] * q_raw).sum(1) / (lengths[rows] * np.sqrt((q_raw * q_raw).sum()))
-    best = np.lexsort((ids[rows], -score))[:k]
+    best = np.lexsort((ids[rows], -score))
+    best = best[first_of_ids(ids[rows][best], k)]
     return ids[rows][best], score[best]
 
 
@@ -123,7 +138,7 @@ def nearest(
     Both tables have an integer id and an array of numbers. Null ids, and vectors that are null, zero, of another than the
     sample's most frequent size, or that hold null or non-finite numbers take no part. Rows that repeat an id count as
     one candidate with its best score. Ties go to the smaller id. Fewer than k candidates: all of them; lists are
-    probed on until k + 1 vectors were in reach. Empty tables give no rows.
+    probed on until k + 1 different ids were in reach. Empty tables give no rows.
     """
     spark = vectors.sparkSession
     names = "query_id long, rank int, vec_id long, score double"
@@ -142,15 +157,19 @@ def nearest(
             x = matrix(b.column("v"), dim)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.argmax(unit(x) @ index.centres.T, 1).astype(np.int32))], ["id", "v", "list"])
 
-    dealt = cut_lineage(all_rows.where(F.size("v") == dim).mapInArrow(deal, "id long, v array<double>, list int"), "ann-lists")
-    counts = np.zeros(len(index.centres), np.int64)
+    # rows that repeat are one, so no block of a list is filled by copies
+    dealt = cut_lineage(all_rows.where(F.size("v") == dim).dropDuplicates(["id", "v"]).mapInArrow(deal, "id long, v array<double>, list int"), "ann-lists")
+    counts, fresh = np.zeros(len(index.centres), np.int64), np.zeros(len(index.centres), np.int64)
     for r in dealt.groupBy("list").count().collect():  # one row per list
         counts[r["list"]] = r["count"]
+    # an id counts for one of its lists, so sums over lists never exceed the number of different ids
+    for r in dealt.groupBy("id").agg(F.min("list").alias("list")).groupBy("list").count().collect():  # one row per list
+        fresh[r["list"]] = r["count"]
 
     def probe(batches):
         for b in batches:
             order = index.order(unit(matrix(b.column("v"), dim)))
-            reach = np.cumsum(counts[order], axis=1)
+            reach = np.cumsum(fresh[order], axis=1)
             n = np.maximum(index.probes, (reach < k + 1).sum(1) + 1)
             n = np.minimum(n, order.shape[1])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([o[:m].tolist() for o, m in zip(order, n)], pa.list_(pa.int32()))], ["id", "v", "lists"])
@@ -166,7 +185,7 @@ def nearest(
     # a tile is (list, block of vectors, group of queries); its sizes are bounded, however full a list is
     own = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     left = dealt.join(F.broadcast(parts), "list").select(
-        "list", (own % F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "id", "v"
+        "list", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "id", "v"
     )
     right = probing.join(F.broadcast(parts), "list").select(
         "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), (own % F.col("groups")).cast("int").alias("group"), "id", "v"
@@ -175,11 +194,11 @@ def nearest(
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out_q, out_i, out_s = [], [], []
         if left.num_rows and right.num_rows:
-            ids, raw = left["id"].to_numpy(), matrix(left["v"], dim)
+            ids, raw = left["id"].to_numpy(), scaled(matrix(left["v"], dim))
             turned = unit(raw) @ index.rotation
             blocks = [np.ascontiguousarray(turned[:, a : a + COLUMNS]) for a in range(0, dim, COLUMNS)]
             lengths = np.sqrt((raw * raw).sum(1))
-            q_raw = matrix(right["v"], dim)
+            q_raw = scaled(matrix(right["v"], dim))
             q_turned = unit(q_raw) @ index.rotation
             for q_id, q, x in zip(right["id"].to_pylist(), q_turned, q_raw):
                 i, s = scan(q, x, q_id, ids, blocks, raw, lengths, k)

@@ -6,7 +6,9 @@ after zero bytes. Counts come from four fifths of the trusted documents, by a ha
 them to that side. Everything of the size of the model stays in tables sharded by gram: each chunk of documents (a split of the input) asks for its distinct grams, the probabilities are joined
 to these from order 1 up, and the answers meet the chunk's documents again for scoring.
 
-Each language's threshold is a quantile of the scores of trusted texts that took no part in the training.
+Each language's threshold is a quantile of the scores of all its texts, at the level that its labelled texts set: the share of
+good ones among them. Trusted text covers only part of what is good, so its own scores alone would reject good text of another
+vocabulary on a small difference; the quantile of trusted texts that took no part in the training is the least threshold.
 """
 
 from __future__ import annotations
@@ -181,6 +183,14 @@ def probabilities(seen: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
     return lower.select(F.col("h").alias("gram"), (-F.log2("p")).alias("bits"))
 
 
+def look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The value of every asked gram; keys: sorted. A gram that is not there is an error, not a neighbour's value."""
+    at = np.searchsorted(keys, asked)
+    if len(asked) and (not len(keys) or at.max() >= len(keys) or not np.array_equal(keys[at], asked)):
+        raise RuntimeError("a chunk holds grams that it did not ask for: the input was split in two ways")
+    return values[at]
+
+
 def scores(docs: DataFrame, bits: DataFrame, asked: DataFrame, order: int) -> DataFrame:
     """``doc_id, text_hash, lang, n_bytes, mean_bits, score`` of every row; docs: ``chunk, doc_id, text_hash, lang, text``."""
     answers = asked.join(bits, "gram").select("gram", F.col("bits").cast("float").alias("bits"), F.explode("chunks").alias("chunk"))
@@ -202,7 +212,7 @@ def scores(docs: DataFrame, bits: DataFrame, asked: DataFrame, order: int) -> Da
         for b in left.to_batches():
             for part in small(b, 256):
                 for i, j, data, off in _texts(pa.array(unpack(part.column("packed").to_pylist()), pa.large_binary())):
-                    v = values[np.searchsorted(keys, grams(data, off, order))] if len(data) else np.zeros(0)
+                    v = look_up(keys, values, grams(data, off, order))
                     n = np.diff(off)
                     some = np.maximum(n, 1)
                     s = np.concatenate([[0.0], np.cumsum(v)])
@@ -226,18 +236,40 @@ def scores(docs: DataFrame, bits: DataFrame, asked: DataFrame, order: int) -> Da
     return pairs.applyInArrow(run, f"doc_id {kind}, text_hash long, lang string, n_bytes long, mean_bits double, score double")
 
 
-def thresholds(held: DataFrame, quantile: float) -> DataFrame:
-    """``lang, threshold``, and one row ``null`` language ``everyone``: the upper edge of the bin that reaches the quantile.
+def _each_and_all(rows: DataFrame) -> DataFrame:
+    """``rows`` by language, and once more under the language '' for everyone. A null language is the text ''."""
+    own = rows.withColumn("lang", F.coalesce("lang", F.lit("")))
+    return own.withColumn("all", F.lit(False)).unionByName(own.withColumn("lang", F.lit("")).withColumn("all", F.lit(True)))
+
+
+def thresholds(rated: DataFrame, level: float | DataFrame) -> DataFrame:
+    """``all, lang, threshold``: the upper edge of the bin that reaches the level; one row with ``all`` is everyone's.
 
-    held: ``lang, score``. A histogram is merged; no scores are sorted. A language of its own null is the text ''.
+    rated: ``lang, score``; level: one for every language, or ``level_all, level_lang, level``. A histogram is merged; no scores are sorted.
     """
-    bins = held.where("score is not null").select(F.coalesce("lang", F.lit("")).alias("lang"), F.ceil(F.col("score") * BINS).alias("bin"))
-    both = bins.select(F.lit(False).alias("all"), "lang", "bin").unionByName(bins.select(F.lit(True).alias("all"), F.lit("").alias("lang"), "bin"))
-    hist = both.groupBy("all", "lang", "bin").count()
+    bins = rated.where("score is not null").select("lang", F.ceil(F.col("score") * BINS).alias("bin"))
+    hist = _each_and_all(bins).groupBy("all", "lang", "bin").count()
     w = Window.partitionBy("all", "lang")
-    upto = F.sum("count").over(w.orderBy("bin"))
-    reached = hist.withColumn("part", upto / F.sum("count").over(w)).where(F.col("part") >= quantile)
-    return reached.groupBy("all", "lang").agg((F.min("bin") / BINS).alias("threshold"))
+    part = hist.withColumn("part", F.sum("count").over(w.orderBy("bin")) / F.sum("count").over(w))
+    if isinstance(level, float):
+        part = part.withColumn("level", F.lit(level))
+    else:
+        part = part.join(level, (F.col("all") == F.col("level_all")) & (F.col("lang") == F.col("level_lang")))
+    return part.where("part >= level").groupBy("all", "lang").agg((F.min("bin") / BINS).alias("threshold"))
+
+
+def levels(scored: DataFrame, quality: DataFrame) -> DataFrame:
+    """``level_all, level_lang, level``: the share of good texts among a language's labelled ones.
+
+    quality: ``doc_id, q``. Languages without a labelled text take everyone's share; without any good text there is no row.
+    """
+    marked = scored.where("score is not null").join(quality.where("q is not null"), "doc_id").select("lang", "q")
+    shares = _each_and_all(marked).groupBy("all", "lang").agg(F.avg((F.col("q") == 1).cast("double")).alias("own"))
+    shares = cut_lineage(shares, "kn-levels")
+    everyone = shares.where("all and own > 0").select("own").scalar()
+    every = _each_and_all(scored.select("lang").distinct()).distinct().select(F.col("all").alias("level_all"), F.col("lang").alias("level_lang"))
+    met = every.join(shares, (F.col("all") == F.col("level_all")) & (F.col("lang") == F.col("level_lang")), "left")
+    return met.select("level_all", "level_lang", F.when(everyone.isNotNull(), F.coalesce("own", everyone)).alias("level")).where("level is not null")
 
 
 def chunk_of_input(docs: DataFrame, doc_id: str) -> Column:
@@ -255,8 +287,9 @@ def judge(
 
     labels: ``doc_id, quality``; trusted are documents with a label 1 and none of 0. ``perplexity`` is per byte,
     ``score`` its log2 less ``SLACK`` standard errors, so that a short text is not rejected on little evidence, and
-    a text is kept if the score is at most its language's threshold. A language without held-out trusted texts
-    takes the threshold of all of them together; without any trusted text everything is kept. Null and empty
+    a text is kept if the score is at most its language's threshold: the quantile of all its texts at the share of good ones among
+    its labelled texts (see ``levels``), and at least the ``quantile`` of its held-out trusted texts. A language without labelled or
+    held-out texts takes the share or the quantile of all of them together; without any trusted text everything is kept. Null and empty
     texts have no bytes and no perplexity, and are not kept. Null ids, null languages (a language of their own) and rows
     that repeat are judged like others.
     """
@@ -265,7 +298,8 @@ def judge(
     rows = docs.select(
         chunk_of_input(docs, doc_id).alias("chunk"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
+    quality = labels.groupBy("doc_id").agg(F.min("quality").alias("q"))
+    trusted = quality.where("q = 1").select("doc_id")
     held = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(HELD_OUT)) == 0
     asked = requests(rows.select("chunk", "text"), order)
     seen = trusted_counts(rows.select("doc_id", "text"), trusted.where(~held), order)
@@ -274,8 +308,10 @@ def judge(
     limits = cut_lineage(thresholds(scored.join(trusted.where(held), "doc_id", "left_semi"), quantile), "kn-limits")
     everyone = limits.where("all").select("threshold").scalar()
     own = limits.where("not all").select(F.col("lang").alias("_lang"), "threshold")
-    out = scored.join(own, F.coalesce("lang", F.lit("")) == F.col("_lang"), "left")
-    limit = F.coalesce("threshold", everyone, F.lit(float("inf")))
+    share = thresholds(scored, levels(scored, quality)).where("not all").select(F.col("lang").alias("_share_lang"), F.col("threshold").alias("_share"))
+    share = cut_lineage(share, "kn-shares")
+    out = scored.join(own, F.coalesce("lang", F.lit("")) == F.col("_lang"), "left").join(share, F.coalesce("lang", F.lit("")) == F.col("_share_lang"), "left")
+    limit = F.coalesce(F.greatest(F.coalesce("threshold", everyone), "_share"), F.lit(float("inf")))
     return out.select(
         "doc_id", "lang", "n_bytes", F.pow(F.lit(2.0), "mean_bits").alias("perplexity"), "score", limit.alias("threshold"),
         F.coalesce(F.col("score") <= limit, F.lit(False)).alias("kept"), "text_hash",

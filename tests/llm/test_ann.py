@@ -72,3 +72,33 @@ def test_odd_vectors(shipped):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
     one = df.where("vec_id = 0")
     assert ann.nearest(one, one).count() == 0
+
+
+def test_ids_that_repeat_fill_no_places(shipped):
+    rng = np.random.default_rng(4)
+    near = [1.0, 0.0, 0.0, 0.0]
+    rows = [(0, near)] + [(1, [1.0, 0.001 * j, 0.0, 0.0]) for j in range(8)] + [(k, rng.standard_normal(4).tolist()) for k in range(2, 12)]
+    df = shipped.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = rows_of(ann.nearest(df, df.where("vec_id = 0")))
+    want = brute(rows, [rows[0]])
+    assert [i for i, _ in got[0]] == [i for i, _ in want[0]] and len(got[0]) == 5
+
+
+def test_each_id_one_to_twenty_times(shipped):
+    rng = np.random.default_rng(6)
+    rows = [(k, (rng.standard_normal(8) if j % 3 else np.full(8, 1.0 + k)).tolist()) for k in range(60) for j in range(1 + k % 20)]
+    df = shipped.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    asked = df.where("vec_id % 20 = 0").dropDuplicates(["vec_id"])
+    got = rows_of(ann.nearest(df, asked))
+    want = brute(rows, [(r["vec_id"], r["embedding"]) for r in asked.collect()])
+    for q, found in got.items():
+        assert len({i for i, _ in found}) == 5
+        assert np.allclose([s for _, s in found], [s for _, s in want[q]], atol=0.2)
+
+
+def test_large_and_small_components(shipped):
+    rows = [(0, [1e200] * 4), (1, [1e200, 1e200, 1e200, 0.0]), (2, [1e-200] * 4), (3, [-1e308] * 4), (4, [1.0, 1.0, 0.0, 0.0])]
+    df = shipped.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rows_of(ann.nearest(df, df.where("vec_id = 0")))[0]
+    assert [i for i, _ in got] == [2, 1, 4, 3]
+    assert np.allclose([s for _, s in got], [1.0, np.sqrt(0.75), np.sqrt(0.5), -1.0])
