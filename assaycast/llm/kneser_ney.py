@@ -32,6 +32,10 @@ FILTER_BITS = 24
 #: Standard errors by which a short text's mean is lowered.
 SLACK = 3.0
 SLICE = 2_000_000
+#: Bytes of input of a chunk; a larger split is cut by a hash of id and text.
+CHUNK_BYTES = 16 << 20
+#: Grams counted before they are first merged.
+HELD_GRAMS = 500_000
 
 
 def grams(data: np.ndarray, off: np.ndarray, order: int = ORDER) -> np.ndarray:
@@ -53,16 +57,17 @@ class _Counts:
 
     def __init__(self):
         self.keys, self.sums = [], []
-        self.held = 0
+        self.held, self.limit = 0, HELD_GRAMS
 
     def add(self, g: np.ndarray) -> None:
         k, c = np.unique(g, return_counts=True)
         self.keys.append(k)
         self.sums.append(c)
         self.held += len(k)
-        if self.held > 3_000_000:
+        if self.held > self.limit:
             self.keys, self.sums = ([v] for v in self.total())
             self.held = len(self.keys[0])
+            self.limit = 2 * self.held + HELD_GRAMS
 
     def total(self):
         if not self.keys:
@@ -272,10 +277,12 @@ def levels(scored: DataFrame, quality: DataFrame) -> DataFrame:
     return met.select("level_all", "level_lang", F.when(everyone.isNotNull(), F.coalesce("own", everyone)).alias("level")).where("level is not null")
 
 
-def chunk_of_input(docs: DataFrame, doc_id: str) -> Column:
-    """A number for the input split of a row; rows that come from no file are dealt by the hash of their id."""
+def chunk_of_input(docs: DataFrame, doc_id: str, text: str) -> Column:
+    """A number for the input split of a row, or for a part of a split of more than ``CHUNK_BYTES``; rows that come from no file are dealt by the hash of their id."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    split = F.xxhash64(F.input_file_name(), F.input_file_block_start())
+    parts = F.greatest(F.ceil(F.input_file_block_length() / CHUNK_BYTES), F.lit(1))
+    part = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), parts)
+    split = F.xxhash64(F.input_file_name(), F.input_file_block_start(), part)
     return F.when(F.input_file_name() != "", split).otherwise(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(n)))
 
 
@@ -296,7 +303,7 @@ def judge(
     if not 2 <= order <= 7:
         raise ValueError("an order from 2 to 7 fits a number")
     rows = docs.select(
-        chunk_of_input(docs, doc_id).alias("chunk"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
+        chunk_of_input(docs, doc_id, text).alias("chunk"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
     quality = labels.groupBy("doc_id").agg(F.min("quality").alias("q"))
     trusted = quality.where("q = 1").select("doc_id")

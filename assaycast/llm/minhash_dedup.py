@@ -31,6 +31,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 6
 #: Leaders of a bucket in the second round, and texts along each side of a tile.
 LEADERS, TILE = 4, 256
+#: Bytes of text whose signatures are made at once; a text of 5 words takes as many registers as a long one.
+SIGN_BYTES = 1_000_000
 SHINGLE_BASE = 0xC6A4A7935BD1E995
 
 
@@ -104,7 +106,7 @@ def signatures(docs: DataFrame, n: int = BANDS, rows: int = ROWS, weights: Calla
 
     def run(batches):
         for b in batches:
-            for i, j, data, off in text_slices(b, "text"):
+            for i, j, data, off in text_slices(b, "text", SIGN_BYTES):
                 w = Words(data, off)
                 keys, counts, sizes = shingles(w)
                 full = np.flatnonzero(sizes)
@@ -120,13 +122,13 @@ def signatures(docs: DataFrame, n: int = BANDS, rows: int = ROWS, weights: Calla
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, shingles`` (sorted 64-bit hashes as bytes) of the wanted ``id, node``; one row per node."""
+    """``node, shingles`` (sorted 64-bit hashes as bytes) of the wanted ``wanted_id, wanted_hash, node``; one row per node."""
     kind = dict(docs.dtypes)["id"]
 
     def pack_texts(batches):
         for b in batches:
             for part in small(b):
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(pack(part.column("text").cast(pa.large_binary()).to_pylist()), pa.binary())], ["id", "packed"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), pa.array(pack(part.column("text").cast(pa.large_binary()).to_pylist()), pa.binary())], ["id", "text_hash", "packed"])
 
     def run(batches):
         for b in batches:
@@ -144,8 +146,10 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.binary()) for c in (0, 1)], ["node", "shingles"])
 
-    packed = docs.select("id", "text").mapInArrow(pack_texts, f"id {kind}, packed binary")
-    met = packed.join(wanted, packed.id.eqNullSafe(wanted.wanted_id)).select("node", "packed")
+    packed = docs.select("id", "text_hash", "text").mapInArrow(pack_texts, f"id {kind}, text_hash long, packed binary")
+    # the hash as well: texts with null or repeated ids would all meet each other
+    same = (packed.text_hash == wanted.wanted_hash) & packed.id.eqNullSafe(wanted.wanted_id)
+    met = packed.join(wanted, same).select("node", "packed")
     found = met.mapInArrow(run, "node binary, shingles binary")
     # an id that comes twice with one text gives the same set twice
     return cut_lineage(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "near-sets")
@@ -250,17 +254,17 @@ def near_duplicates(
     """
     base = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     signed = cut_lineage(signatures(base, n_bands, rows, weights), "near-signatures")
-    texts = signed.where("node is not null").groupBy("node").agg(
-        F.min("id").alias("wanted_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")
-    )
-    texts = cut_lineage(texts, "near-texts")
+    # one row stands for the words: the least id, null last
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("least")
+    texts = signed.where("node is not null").groupBy("node").agg(least, F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+    texts = cut_lineage(texts.withColumns({"wanted_id": F.col("least.id"), "wanted_hash": F.col("least.text_hash")}).drop("least"), "near-texts")
     exploded = texts.select("node", F.explode("bands").alias("key"))
     buckets = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = cut_lineage(exploded.join(buckets, "key").select("key", "node", "n"), "near-shared")
     # the text that others were made from shares most buckets with them: it leads first (least ``d``)
     degree = shared.groupBy("node").agg((-F.sum("n")).alias("d"))
     members = cut_lineage(shared.join(degree, "node").select("key", "d", "node"), "near-buckets")
-    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").select("wanted_id", "node")
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").select("wanted_id", "wanted_hash", "node")
     sets = _sets(base, wanted)
 
     # first round: each node and the first leader of its buckets

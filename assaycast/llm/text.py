@@ -152,8 +152,8 @@ def slices(data: np.ndarray, off: np.ndarray, size: int = SLICE_BYTES) -> Iterat
         i = j
 
 
-def text_slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    yield from slices(*flat(batch.column(text)))
+def text_slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    yield from slices(*flat(batch.column(text)), size)
 
 
 def pack(texts: list[bytes | None]) -> list[bytes | None]:

@@ -122,6 +122,25 @@ def test_good_text_of_another_vocabulary_stays(shipped, prose):
     assert sum(kept[5000 + k] for k in range(40)) <= 8
 
 
+def test_parts_of_a_split_give_the_same_scores(shipped, prose, odd_texts, tmp_path, monkeypatch):
+    _, docs, labels = corpus(shipped, prose, odd_texts)
+    docs.coalesce(1).write.parquet(str(tmp_path / "docs"))
+    stored = shipped.read.parquet(str(tmp_path / "docs"))
+
+    def run():
+        return sorted((str(r["doc_id"]), r["text_hash"], r["perplexity"] and round(r["perplexity"], 6), r["kept"]) for r in kn.judge(stored, labels).collect())
+
+    def chunks():
+        return stored.select(kn.chunk_of_input(stored, "doc_id", "text")).distinct().count()
+
+    assert chunks() == 1
+    whole = run()
+    monkeypatch.setattr(kn, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(kn, "HELD_GRAMS", 100)
+    assert chunks() > 1
+    assert run() == whole
+
+
 def test_missing_grams_are_an_error():
     keys, values = np.array([2, 5]), np.array([1.0, 2.0])
     assert kn.look_up(keys, values, np.array([5, 2, 5])).tolist() == [2.0, 1.0, 2.0]

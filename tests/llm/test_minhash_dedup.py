@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from conftest_words import words
+from pyspark.sql import functions as F
 
 from assaycast.llm import minhash_dedup as mh
 from assaycast.llm.components import components
@@ -78,6 +79,18 @@ def test_repeated_rows_and_no_rows(shipped, prose):
     assert mh.near_duplicates(shipped.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_texts_without_ids_meet_their_own_shingles_only(shipped, prose):
+    texts = [prose(k, 60, 3000) for k in range(40)]
+    rows = [(None, t) for t in texts] + [(None, t + " end") for t in texts] + [(7, texts[0]), (7, texts[1])]
+    base = shipped.createDataFrame(rows, "id long, text string").select("id", F.xxhash64("text").alias("text_hash"), "text")
+    signed = mh.signatures(base).where("node is not null")
+    wanted = signed.select(F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"), "node").distinct()
+    found = mh._sets(base, wanted)
+    assert found.count() == 80 == signed.select("node").distinct().count()
+    got = mh.near_duplicates(base, "id").collect()
+    assert len(got) == 82 and len({r["class_key"] for r in got}) == 40
+
+
 def probability_jaccard(x, y):
     return sum(1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in x.keys() | y.keys()) for d in x.keys() & y.keys())
 
