@@ -100,11 +100,18 @@ def psi(
     counts = placed.groupBy(feature, bin_no.alias("_bin")).agg(
         F.count_if(F.col("_t") == 1).alias("_p"), F.count_if(F.col("_t") == 0).alias("_q")
     )
-    whole = Window.partitionBy(feature)
-    p = F.greatest(F.col("_p") / F.sum("_p").over(whole), F.lit(eps))
-    q = F.greatest(F.try_divide(F.col("_q"), F.sum("_q").over(whole)), F.lit(eps))
-    terms = counts.withColumn("_term", (p - q) * F.ln(p / q))
-    return terms.groupBy(feature).agg(F.sum("_term").alias("psi"))
+    # one row per feature with its few bins
+    bins_of = counts.groupBy(feature).agg(
+        F.array_sort(F.collect_list(F.struct("_bin", "_p", "_q"))).alias("_bins"), F.sum("_p").alias("_np"), F.sum("_q").alias("_nq")
+    )
+
+    def term(b):
+        p = F.greatest(b["_p"] / F.col("_np"), F.lit(eps))
+        q = F.greatest(F.try_divide(b["_q"], F.col("_nq")), F.lit(eps))
+        return (p - q) * F.ln(p / q)
+
+    total = F.aggregate(F.transform("_bins", term), F.lit(0.0), lambda acc, t: acc + t)
+    return bins_of.select(feature, total.alias("psi"))
 
 
 def rolling_mae(
