@@ -147,12 +147,17 @@ def _tail(c: str, n: int) -> Column:
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts for counts of 1, 2, and 3 or more, kept between 0 and the count."""
+    """Modified Kneser-Ney discounts for counts of 1, 2, and 3 or more, above 0 and at most the count.
+
+    Low orders of a large corpus have few rare grams, so an estimate can come out at 0 or below. Nothing would be left
+    for what a context has not been seen with, whose probability would be 0; such an estimate gives way to a fixed one.
+    """
+    fixed = (0.5, 1.0, 1.5)
     if not n1 or not n2:
-        return 0.5, 1.0, 1.5
+        return fixed
     y = n1 / (n1 + 2 * n2)
     d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return tuple(min(max(v, 0.0), float(i + 1)) for i, v in enumerate(d))
+    return tuple(min(v, float(i + 1)) if v > 0 else fixed[i] for i, v in enumerate(d))
 
 
 def probabilities(seen: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
@@ -189,11 +194,14 @@ def probabilities(seen: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
 
 
 def look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """The value of every asked gram; keys: sorted. A gram that is not there is an error, not a neighbour's value."""
+    """The value of every asked gram; keys: sorted. A gram that is not there, or has no finite value, is an error, not a neighbour's value or a NaN that sums carry on."""
     at = np.searchsorted(keys, asked)
     if len(asked) and (not len(keys) or at.max() >= len(keys) or not np.array_equal(keys[at], asked)):
         raise RuntimeError("a chunk holds grams that it did not ask for: the input was split in two ways")
-    return values[at]
+    got = values[at]
+    if not np.isfinite(got).all():
+        raise RuntimeError("a gram has no probability above 0")
+    return got
 
 
 def scores(docs: DataFrame, bits: DataFrame, asked: DataFrame, order: int) -> DataFrame:

@@ -60,6 +60,21 @@ def test_discounts():
     assert all(0 <= v <= i + 1 for i, v in enumerate(kn.discounts(10, 5, 40, 90)))
 
 
+@pytest.mark.parametrize("counts", [(10, 5, 40, 90), (10, 5, 2, 40), (10, 5, 40, 1), (3, 1, 1, 9)])
+def test_every_discount_is_above_zero(counts):
+    assert all(0 < v <= i + 1 for i, v in enumerate(kn.discounts(*counts)))
+
+
+def test_unseen_grams_have_a_probability_where_few_grams_are_rare(shipped):
+    # the estimates for counts of 2 and of 3 and more are negative, and all that follows a Q was counted 4 times
+    counts = [1, 1, 2] + [3] * 5 + [4] * 8
+    key = lambda g: int.from_bytes(g.encode(), "big")
+    seen = [(key(("Q" if n == 4 else "A") + y), n) for y, n in zip("abcdefghijklmnop", counts)]
+    wanted = [(key(g),) for g in ["Aa", "Qp", "Qa", "Qz", "zz"]]
+    got = kn.probabilities(shipped.createDataFrame(seen, "h long, c long"), shipped.createDataFrame(wanted, "gram long"), 2).collect()
+    assert len(got) == 5 and all(r["bits"] is not None and 0 < r["bits"] < 100 for r in got)
+
+
 def test_grams_start_after_zero_bytes():
     data = np.frombuffer(b"abcd", np.uint8)
     got = [int(g).to_bytes(3, "big") for g in kn.grams(data, np.array([0, 3, 3, 4]), 3)]
@@ -148,6 +163,8 @@ def test_missing_grams_are_an_error():
         with pytest.raises(RuntimeError):
             kn.look_up(keys, values, np.array(asked))
     assert kn.look_up(keys[:0], values[:0], np.zeros(0, np.int64)).tolist() == []
+    with pytest.raises(RuntimeError):
+        kn.look_up(keys, np.array([1.0, np.nan]), np.array([5]))
 
 
 def test_no_labels_and_no_rows(shipped, prose, odd_texts):
