@@ -137,6 +137,27 @@ def test_good_text_of_another_vocabulary_stays(shipped, prose):
     assert sum(kept[5000 + k] for k in range(40)) <= 8
 
 
+def test_bad_texts_beyond_their_labelled_share_go(shipped, prose):
+    # one labelled text in 101 is bad, but 30 of 130 texts are; a language without bad labels keeps its share
+    bad = prose(1, 60).upper() + " #%$ " * 20
+    rows = [(k, "en", prose(k, 60)) for k in range(100)] + [(5000 + k, "en", bad) for k in range(30)]
+    rows += [(200 + k, "de", prose(200 + k, 60)) for k in range(50)] + [(300 + k, None, prose(300 + k, 60)) for k in range(50)] + [(400, None, bad), (401, None, bad)]
+    docs = shipped.createDataFrame(rows, "doc_id long, lang string, text string")
+    labels = shipped.createDataFrame([(k, 1) for k in range(400)] + [(5000, 0), (400, 0)], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in kn.judge(docs, labels).collect()}
+    assert not any(got[5000 + k]["kept"] for k in range(30)) and not got[400]["kept"] and not got[401]["kept"]
+    assert sum(got[k]["kept"] for k in range(100)) >= 95 and all(got[200 + k]["kept"] for k in range(50))
+
+
+def test_cap_is_the_largest_of_the_best_thresholds(shipped):
+    scored = [(1, "a", 0.010), (2, "a", 0.020), (3, "a", 0.100), (4, "a", 0.060), (5, "a", 0.200), (6, "b", 0.5), (7, None, 0.5), (8, None, 0.3), (9, "a", None), (10, "c", 0.1), (None, "a", 0.01)]
+    held = shipped.createDataFrame([(1,), (2,), (3,), (7,), (9,), (10,)], "doc_id long")
+    quality = shipped.createDataFrame([(k, 1) for k in (1, 2, 3, 7, 9, 10)] + [(4, 0), (5, 0), (6, 0), (8, 0)], "doc_id long, q int")
+    got = {r["lang"]: r["cap"] for r in kn.caps(shipped.createDataFrame(scored, "doc_id long, lang string, score double"), quality, held).collect()}
+    # a: the bad text of 0.06 costs less than the good one of 0.1, and nothing lies between that and 0.2; '': the good text is the highest; b and c: one kind only
+    assert got == {"a": 99 / kn.BINS, "": None}
+
+
 def test_parts_of_a_split_give_the_same_scores(shipped, prose, odd_texts, tmp_path, monkeypatch):
     _, docs, labels = corpus(shipped, prose, odd_texts)
     docs.coalesce(1).write.parquet(str(tmp_path / "docs"))
