@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+import sys
 import zlib
 
 import numpy as np
@@ -37,6 +39,25 @@ def test_units_encode_as_whole_texts(prose, odd_texts, monkeypatch, cache):
         assert ids.tolist() == sum(want, []) and n.tolist() == [len(w) for w in want]
 
 
+def test_white_space_is_found_as_the_pattern_finds_it():
+    fast = ts.Encoder(FILE)
+    spaces = [chr(c) for c in range(sys.maxunicode + 1) if re.match(r"\s", chr(c))]
+    assert sorted(spaces) == sorted([*fast.RARE, " ", "\n"])
+    texts = ["", "a", "a b", "é ü\n漢"] + [t for c in spaces for t in (c, f"a{c}", f"{c}a", f"a{c}b", f"a {c}b", f"a{c} b", f"a{c}{c}b", f"a{c}\nb", f"a\n{c}b", f"é{c}b c")]
+    assert all(fast.falls_apart(t) == (not fast.UNSAFE.search(t)) for t in texts)
+
+
+def test_first_units_are_encoded_once_and_forgotten(monkeypatch):
+    monkeypatch.setattr(ts, "HEADS", 3)
+    plain, fast = Tokenizer.from_file(FILE), ts.Encoder(FILE)
+    calls, whole = [], fast.whole
+    monkeypatch.setattr(fast, "whole", lambda t: calls.append(t) or whole(t))
+    texts = ["First word", "First one", "Second one", "First", "x" * 101, "x" * 101, "Third a", "Fourth b", "First word"]
+    ids, n = fast.encode(texts, 0)
+    assert ids.tolist() == sum((plain.encode(t, add_special_tokens=False).ids + [0] for t in texts), [])
+    assert calls.count("Second") == 1 and calls.count("x" * 101) == 2 and calls.count("First") == 2 and len(fast.heads) <= 3
+
+
 @pytest.mark.parametrize("layout,block", [("byte", 65_536), ("bit", 50)])
 def test_store_round_trip(shipped, tmp_path, odd_texts, prose, clash, layout, block):
     texts = ODD + odd_texts + [prose(k, 100) for k in range(60)]
