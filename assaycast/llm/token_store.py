@@ -10,6 +10,7 @@ that is lost and run again leaves no second copy.
 
 from __future__ import annotations
 
+import collections
 import functools
 import itertools
 import os
@@ -29,6 +30,8 @@ BLOCK = 65_536
 END = 0
 #: Distinct units after which an encoder forgets the rare ones.
 CACHE_UNITS = 700_000
+#: Units that are encoded in a row; longer rows take more time a unit.
+ROW_UNITS = 500
 #: First units of texts that are kept, and how long one may be.
 HEADS = 50_000
 HEAD_CHARS = 100
@@ -109,8 +112,8 @@ class Encoder:
         return ids
 
     def units(self, missing: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of units that begin with a space or line feed, and how many each has, from one encoding of all of them in a row."""
-        ids = self.whole("".join(missing))
+        """Ids of units that begin with a space or line feed, and how many each has, from encodings of ``ROW_UNITS`` of them in a row."""
+        ids = np.concatenate([self.whole("".join(missing[i : i + ROW_UNITS])) for i in range(0, len(missing), ROW_UNITS)])
         at = np.cumsum(self.width[ids])
         ends = np.cumsum(pc.binary_length(pa.array(missing, pa.large_string())).to_numpy())
         cut = np.minimum(np.searchsorted(at, ends), len(at) - 1)
@@ -181,22 +184,19 @@ class Encoder:
         self.flat = self.flat[np.repeat(begin - upto + n, n) + np.arange(upto[-1])]
         self.begin, self.length, self.seen = upto - n, n, self.seen[keep] // 2
         units = list(self.index)
-        self.index = _Index((units[i], k) for k, i in enumerate(keep.tolist()))
+        self.index = _numbers({units[i]: k for k, i in enumerate(keep.tolist())})
 
     def reset(self) -> None:
         """Only the end of a document is known. Units are kept without their leading space."""
-        self.index = _Index({None: END})
+        self.index = _numbers({None: END})
         self.flat, self.begin, self.length = np.zeros(1, np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
         self.seen = np.zeros(1, np.int64)
         self.heads: dict[str, np.ndarray] = {}
 
 
-class _Index(dict):
-    """Numbers for units in the order in which they come."""
-
-    def __missing__(self, unit: str) -> int:
-        self[unit] = n = len(self)
-        return n
+def _numbers(units: dict) -> collections.defaultdict:
+    """``units`` and their numbers; new units are numbered in the order in which they come."""
+    return collections.defaultdict(itertools.count(len(units)).__next__, units)
 
 
 @functools.lru_cache(maxsize=2)

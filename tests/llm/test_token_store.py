@@ -58,6 +58,14 @@ def test_first_units_are_encoded_once_and_forgotten(monkeypatch):
     assert calls.count("Second") == 1 and calls.count("x" * 101) == 2 and calls.count("First") == 2 and len(fast.heads) <= 3
 
 
+def test_units_in_rows_of_any_length_encode_alike(prose, monkeypatch):
+    plain, texts = Tokenizer.from_file(FILE), [prose(k, 80).replace(" c", "\nc") for k in range(20)]
+    want = sum((plain.encode(t, add_special_tokens=False).ids + [0] for t in texts), [])
+    for rows in (1, 3, 1_000_000):
+        monkeypatch.setattr(ts, "ROW_UNITS", rows)
+        assert ts.Encoder(FILE).encode(texts, 0)[0].tolist() == want
+
+
 @pytest.mark.parametrize("layout,block", [("byte", 65_536), ("bit", 50)])
 def test_store_round_trip(shipped, tmp_path, odd_texts, prose, clash, layout, block):
     texts = ODD + odd_texts + [prose(k, 100) for k in range(60)]
