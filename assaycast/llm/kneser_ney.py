@@ -3,8 +3,8 @@
 The units are bytes: a gram is the last ``ORDER`` bytes as one number, exact and without hashing, and text starts
 after zero bytes. Counts come from four fifths of the trusted documents, by a hash of the id; the fifth held out
 (``HELD_OUT``) is never counted and only sets the thresholds, so a language with few trusted texts can lose most of
-them to that side. Everything of the size of the model stays in tables sharded by gram: each chunk of documents (a split of the input) asks for its distinct grams, the probabilities are joined
-to these from order 1 up, and the answers meet the chunk's documents again for scoring.
+them to that side. Everything of the size of the model stays in tables sharded by gram: each chunk of documents (a split of the input or a part of one) asks for its distinct grams, the probabilities are joined
+to these from order 1 up, and the answers meet the chunk's documents again for scoring: a task holds the answers of one chunk and passes its documents by, batch after batch.
 
 Each language's threshold is a quantile of the scores of all its texts, at the level that its labelled texts set: the share of
 good ones among them, but not above the score that best parts its bad labelled texts from the good ones held out (see ``caps``): the
@@ -14,12 +14,15 @@ vocabulary on a small difference; the quantile of trusted texts that took no par
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assaycast.llm.text import flat, pack, slices, small, unpack
+from assaycast.llm.text import flat, pack, slices, small, trimmed, unpack
 from assaycast.sources.tables import cut_lineage
 
 ORDER = 5
@@ -32,9 +35,10 @@ BINS = 500
 FILTER_BITS = 24
 #: Standard errors by which a short text's mean is lowered.
 SLACK = 3.0
-SLICE = 2_000_000
-#: Bytes of input of a chunk; a larger split is cut by a hash of id and text.
-CHUNK_BYTES = 16 << 20
+#: Bytes of text whose grams are made at once; they take about 60 bytes for each.
+SLICE = 500_000
+#: Bytes of text of a chunk, about; a larger split is cut by a hash of id and text.
+CHUNK_BYTES = 32 << 20
 #: Grams counted before they are first merged.
 HELD_GRAMS = 500_000
 
@@ -88,6 +92,9 @@ def requests(docs: DataFrame, order: int) -> DataFrame:
         sums: dict[int, _Counts] = {}
         for b in batches:
             chunks = b.column("chunk").to_numpy()
+            if (np.diff(chunks) != 0).any():
+                by = np.argsort(chunks, kind="stable")
+                b, chunks = b.take(pa.array(by)), chunks[by]
             for a, z in _segments(chunks):
                 own = sums.setdefault(int(chunks[a]), _Counts())
                 for _, _, data, off in _texts(b.column("text").slice(a, z - a)):
@@ -98,7 +105,7 @@ def requests(docs: DataFrame, order: int) -> DataFrame:
                 part = k[i : i + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), chunk))], ["gram", "chunk"])
 
-    asked = docs.mapInArrow(run, "gram long, chunk long")
+    asked = docs.mapInArrow(trimmed(run), "gram long, chunk long")
     return cut_lineage(asked.groupBy("gram").agg(F.collect_set("chunk").alias("chunks")), "kn-requests")
 
 
@@ -127,7 +134,7 @@ def trusted_counts(docs: DataFrame, trusted: DataFrame, order: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(pack(texts), pa.binary())], ["doc_id", "packed"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    likely = docs.select("doc_id", slot.alias("slot"), "text").mapInArrow(sift, f"doc_id {kind}, packed binary")
+    likely = docs.select("doc_id", slot.alias("slot"), "text").mapInArrow(trimmed(sift), f"doc_id {kind}, packed binary")
 
     def count(batches):
         own = _Counts()
@@ -139,7 +146,7 @@ def trusted_counts(docs: DataFrame, trusted: DataFrame, order: int) -> DataFrame
         for i in range(0, len(k), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(k[i : i + 100_000]), pa.array(c[i : i + 100_000])], ["h", "c"])
 
-    counted = likely.join(trusted, "doc_id").select("packed").mapInArrow(count, "h long, c long")
+    counted = likely.join(trusted, "doc_id").select("packed").mapInArrow(trimmed(count), "h long, c long")
     return cut_lineage(counted.groupBy("h").agg(F.sum("c").alias("c")), "kn-counts")
 
 
@@ -206,8 +213,10 @@ def look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarr
 
 
 def scores(docs: DataFrame, bits: DataFrame, asked: DataFrame, order: int) -> DataFrame:
-    """``doc_id, text_hash, lang, n_bytes, mean_bits, score`` of every row; docs: ``chunk, doc_id, text_hash, lang, text``."""
-    answers = asked.join(bits, "gram").select("gram", F.col("bits").cast("float").alias("bits"), F.explode("chunks").alias("chunk"))
+    """``doc_id, text_hash, lang, n_bytes, mean_bits, score`` of every row; docs: ``chunk, doc_id, text_hash, lang, text``.
+
+    Rows of answers and of texts are dealt by chunk and sorted, a chunk's answers before its texts, so that neither side of a chunk is one Arrow batch.
+    """
     kind, own = dict(docs.dtypes)["doc_id"], ["chunk", "doc_id", "text_hash", "lang"]
 
     def pack_texts(batches):
@@ -216,38 +225,50 @@ def scores(docs: DataFrame, bits: DataFrame, asked: DataFrame, order: int) -> Da
                 packed = pa.array(pack(part.column("text").cast(pa.large_binary()).to_pylist()), pa.binary())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), packed], [*own, "packed"])
 
-    packed = docs.select(*own, "text").mapInArrow(pack_texts, f"chunk long, doc_id {kind}, text_hash long, lang string, packed binary")
+    packed = docs.select(*own, "text").mapInArrow(trimmed(pack_texts), f"chunk long, doc_id {kind}, text_hash long, lang string, packed binary")
+    # ``key`` is the gram of an answer and the hash of a text; only answers have ``bits``
+    texts = packed.select("chunk", F.col("text_hash").alias("key"), F.lit(None).cast("float").alias("bits"), "doc_id", "lang", "packed")
+    answers = asked.join(bits, "gram").select(
+        F.explode("chunks").alias("chunk"), F.col("gram").alias("key"), F.coalesce("bits", F.lit(float("nan"))).cast("float").alias("bits"),
+        F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("binary").alias("packed"),
+    )
     names = ["doc_id", "text_hash", "lang", "n_bytes", "mean_bits", "score"]
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("gram")
-        keys, values = right["gram"].to_numpy(), right["bits"].to_numpy().astype(np.float64)
-        ids, hashes, langs, sizes, means, rated = [], [], [], [], [], []
-        for b in left.to_batches():
-            for part in small(b, 256):
-                for i, j, data, off in _texts(pa.array(unpack(part.column("packed").to_pylist()), pa.large_binary())):
-                    v = look_up(keys, values, grams(data, off, order))
-                    n = np.diff(off)
-                    some = np.maximum(n, 1)
-                    s = np.concatenate([[0.0], np.cumsum(v)])
-                    q = np.concatenate([[0.0], np.cumsum(v * v)])
-                    mean = (s[off[1:]] - s[off[:-1]]) / some
-                    spread = np.sqrt(np.maximum((q[off[1:]] - q[off[:-1]]) / some - mean**2, 0))
-                    ids.append(part.column("doc_id").slice(i, j - i))
-                    hashes.append(part.column("text_hash").slice(i, j - i))
-                    langs.append(part.column("lang").slice(i, j - i))
-                    sizes.append(n)
-                    empty = n == 0
-                    means.append(pa.array(mean, mask=empty))
-                    rated.append(pa.array(mean - SLACK * spread / np.sqrt(some), mask=empty))
-        if not ids:
-            types = [left.schema.field("doc_id").type, pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.float64()]
-            return pa.table([pa.array([], t) for t in types], names)
-        cols = [pa.chunked_array(ids), pa.chunked_array(hashes), pa.chunked_array(langs).cast(pa.string()), pa.array(np.concatenate(sizes)), pa.chunked_array(means), pa.chunked_array(rated)]
-        return pa.table(cols, names)
-
-    pairs = packed.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return pairs.applyInArrow(run, f"doc_id {kind}, text_hash long, lang string, n_bytes long, mean_bits double, score double")
+    def rate(rows: pa.RecordBatch, keys: np.ndarray, values: np.ndarray):
+        for part in small(rows, 256):
+            for i, j, data, off in _texts(pa.array(unpack(part.column("packed").to_pylist()), pa.large_binary())):
+                v = look_up(keys, values, grams(data, off, order))
+                n = np.diff(off)
+                some = np.maximum(n, 1)
+                s = np.concatenate([[0.0], np.cumsum(v)])
+                q = np.concatenate([[0.0], np.cumsum(v * v)])
+                mean = (s[off[1:]] - s[off[:-1]]) / some
+                spread = np.sqrt(np.maximum((q[off[1:]] - q[off[:-1]]) / some - mean**2, 0))
+                empty = n == 0
+                cols = [part.column(c).slice(i, j - i) for c in ("doc_id", "key", "lang")]
+                cols += [pa.array(n), pa.array(mean, mask=empty), pa.array(mean - SLACK * spread / np.sqrt(some), mask=empty)]
+                yield pa.RecordBatch.from_arrays(cols, names)
+
+    def run(batches):
+        chunk, found, index = None, [], None
+        for b in batches:
+            chunks = b.column("chunk").to_numpy()
+            for a, z in _segments(chunks):
+                part = b.slice(a, z - a)
+                if chunk != chunks[a]:
+                    chunk, found, index = chunks[a], [], None
+                n = part.num_rows - part.column("bits").null_count
+                if n:
+                    found.append((part.column("key").slice(0, n).to_numpy().copy(), part.column("bits").slice(0, n).to_numpy().astype(np.float64)))
+                if n < part.num_rows:
+                    if index is None:
+                        keys = np.concatenate([np.zeros(0, np.int64), *(k for k, _ in found)])
+                        by = np.argsort(keys)
+                        index, found = (keys[by], np.concatenate([np.zeros(0), *(v for _, v in found)])[by]), []
+                    yield from rate(part.slice(n), *index)
+
+    met = texts.unionByName(answers).repartition("chunk").sortWithinPartitions("chunk", F.col("bits").isNull())
+    return met.mapInArrow(trimmed(run), f"doc_id {kind}, text_hash long, lang string, n_bytes long, mean_bits double, score double")
 
 
 def _each_and_all(rows: DataFrame) -> DataFrame:
@@ -308,14 +329,36 @@ def caps(scored: DataFrame, quality: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def chunk_of_input(docs: DataFrame, doc_id: str, text: str) -> Column:
-    """A number for the input split of a row, or for a part of a split of more than ``CHUNK_BYTES``; rows that come from no file are dealt by the hash of their id."""
+    """A number for the input split of a row, or for a part of a split of more than ``CHUNK_BYTES`` of text; rows that come from no file are dealt by the hash of their id.
+
+    A split can hold far more text than its length says (repeated texts stored once, a row group of several splits), so the texts are measured first.
+    """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = F.greatest(F.ceil(F.input_file_block_length() / CHUNK_BYTES), F.lit(1))
+    split = [F.input_file_name().alias("file"), F.input_file_block_start().alias("start")]
+    sizes = docs.select(*split, F.input_file_block_length().alias("length"), F.octet_length(text).alias("bytes")).where("file != ''")
+    sizes = sizes.groupBy("file", "start").agg(F.max("length").alias("length"), F.sum("bytes").alias("bytes"))
+    size = sizes.agg(F.sum("length").alias("length"), F.sum("bytes").alias("bytes")).first()
+    rate = (size["bytes"] or 0) / max(size["length"] or 0, 1)
+    parts = F.greatest(F.ceil(F.input_file_block_length() * rate / CHUNK_BYTES), F.lit(1))
     part = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), parts)
     split = F.xxhash64(F.input_file_name(), F.input_file_block_start(), part)
     return F.when(F.input_file_name() != "", split).otherwise(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(n)))
 
 
+@contextlib.contextmanager
+def same_splits(spark: SparkSession) -> Iterator[None]:
+    """Inside, every scan cuts an input into the same splits. Else the cores known at the time of a scan take part, which change as executors join or are lost."""
+    key = "spark.sql.files.minPartitionNum"
+    free = spark.conf.get(key, None) is None
+    if free:
+        spark.conf.set(key, spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if free:
+            spark.conf.unset(key)
+
+
 def judge(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER,
     quantile: float = QUANTILE,
@@ -332,16 +375,17 @@ def judge(
     """
     if not 2 <= order <= 7:
         raise ValueError("an order from 2 to 7 fits a number")
-    rows = docs.select(
-        chunk_of_input(docs, doc_id, text).alias("chunk"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
-    )
     quality = labels.groupBy("doc_id").agg(F.min("quality").alias("q"))
     trusted = quality.where("q = 1").select("doc_id")
     held = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(HELD_OUT)) == 0
-    asked = requests(rows.select("chunk", "text"), order)
-    seen = trusted_counts(rows.select("doc_id", "text"), trusted.where(~held), order)
-    bits = probabilities(seen, asked.select("gram"), order)
-    scored = cut_lineage(scores(rows, bits, asked, order), "kn-scores")
+    with same_splits(docs.sparkSession):
+        rows = docs.select(
+            chunk_of_input(docs, doc_id, text).alias("chunk"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
+        )
+        asked = requests(rows.select("chunk", "text"), order)
+        seen = trusted_counts(rows.select("doc_id", "text"), trusted.where(~held), order)
+        bits = probabilities(seen, asked.select("gram"), order)
+        scored = cut_lineage(scores(rows, bits, asked, order), "kn-scores")
     limits = cut_lineage(thresholds(scored.join(trusted.where(held), "doc_id", "left_semi"), quantile), "kn-limits")
     everyone = limits.where("all").select("threshold").scalar()
     own = limits.where("not all").select(F.col("lang").alias("_lang"), "threshold")

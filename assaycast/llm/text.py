@@ -7,8 +7,9 @@ byte arrays; a slice holds whole texts, about ``SLICE_BYTES`` of them, or one lo
 
 from __future__ import annotations
 
+import ctypes
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -183,3 +184,22 @@ def with_packed(df: DataFrame, text: str, out: str) -> DataFrame:
 def small(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
+
+
+def trim() -> None:
+    """Give free memory back to the system; a worker that waits for its next task would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU library
+        pass
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` of mapInArrow, with ``trim`` after its last batch."""
+
+    def out(batches):
+        yield from run(batches)
+        trim()
+
+    return out

@@ -193,3 +193,77 @@ def test_no_labels_and_no_rows(shipped, prose, odd_texts):
     got = kn.judge(docs, labels.limit(0)).collect()
     assert all(r["kept"] == (r["n_bytes"] > 0) for r in got)
     assert kn.judge(docs.limit(0), labels).count() == 0
+
+
+@pytest.fixture
+def settings(shipped):
+    """Sets values of the session and puts the old ones back."""
+    before = {}
+
+    def put(**values):
+        for k, v in values.items():
+            key = "spark.sql." + k.replace("__", ".")
+            before.setdefault(key, shipped.conf.get(key, None))
+            shipped.conf.set(key, v)
+
+    yield put
+    for key, v in before.items():
+        shipped.conf.unset(key) if v is None else shipped.conf.set(key, v)
+
+
+def test_chunks_are_bounded_by_text_where_the_file_stores_repeats_once(shipped, prose, tmp_path, monkeypatch):
+    text = prose(1, 2000)
+    rows = [(k, "en", text) for k in range(300)]
+    shipped.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    stored = shipped.read.parquet(str(tmp_path / "docs"))
+    monkeypatch.setattr(kn, "CHUNK_BYTES", 30 * len(text))
+    sizes = [r["count"] for r in stored.groupBy(kn.chunk_of_input(stored, "doc_id", "text").alias("chunk")).count().collect()]
+    assert 10 <= len(sizes) <= 11 and max(sizes) < 60
+
+
+def test_texts_and_answers_of_a_chunk_come_in_several_batches(shipped, prose, odd_texts, tmp_path, monkeypatch, settings):
+    _, docs, labels = corpus(shipped, prose, odd_texts)
+    docs.coalesce(1).write.parquet(str(tmp_path / "docs"))
+    stored = shipped.read.parquet(str(tmp_path / "docs"))
+
+    def run():
+        return sorted((str(r["doc_id"]), r["text_hash"], r["lang"], r["n_bytes"], r["perplexity"] and round(r["perplexity"], 6), r["kept"]) for r in kn.judge(stored, labels).collect())
+
+    whole = run()
+    assert len(whole) == docs.count()
+    settings(execution__arrow__maxRecordsPerBatch="50")
+    assert run() == whole
+
+
+def test_scoring_takes_no_chunk_as_one_group(shipped, prose, odd_texts):
+    _, docs, labels = corpus(shipped, prose, odd_texts)
+    rows = docs.select(F.lit(1).cast("long").alias("chunk"), "doc_id", F.xxhash64("text").alias("text_hash"), "lang", "text")
+    asked = kn.requests(rows.select("chunk", "text"), 3)
+    scored = kn.scores(rows, asked.select("gram", F.lit(1.0).alias("bits")), asked, 3)
+    assert "CoGroups" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = scored.collect()
+    assert len(got) == docs.count() and all(r["mean_bits"] == (1.0 if r["n_bytes"] else None) for r in got)
+
+
+def test_input_is_split_alike_when_the_number_of_cores_changes(shipped, prose, odd_texts, tmp_path, monkeypatch, settings):
+    _, docs, labels = corpus(shipped, prose, odd_texts)
+    docs.where("doc_id < 2000").coalesce(1).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "docs"))
+    stored = shipped.read.parquet(str(tmp_path / "docs"))
+    settings(files__openCostInBytes="1", leafNodeDefaultParallelism="3")
+    count, inside = kn.trusted_counts, []
+
+    def splits():
+        return shipped.read.parquet(str(tmp_path / "docs")).rdd.getNumPartitions()
+
+    def counted(*args):
+        # between the scan that asks and the scan that scores
+        inside.append(splits())
+        settings(leafNodeDefaultParallelism="7")
+        inside.append(splits())
+        return count(*args)
+
+    monkeypatch.setattr(kn, "trusted_counts", counted)
+    got = kn.judge(stored, labels).collect()
+    assert len(got) == stored.count() and inside[0] == inside[1] > 1
+    assert shipped.conf.get("spark.sql.files.minPartitionNum", None) is None
+    assert splits() != inside[0]
