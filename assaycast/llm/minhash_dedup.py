@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaycast.llm.components import components
-from assaycast.llm.text import GOLDEN, U, Words, flat, gram_hash, mix, pack, slices, small, text_slices, unpack
+from assaycast.llm.text import GOLDEN, U, Words, flat, gram_hash, mix, pack, slices, small, text_slices, trimmed, unpack
 from assaycast.sources.tables import cut_lineage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 6
 #: Leaders of a bucket in the second round, and texts along each side of a tile.
 LEADERS, TILE = 4, 256
-#: Bytes of text whose signatures are made at once; a text of 5 words takes as many registers as a long one.
+#: Bytes of text whose signatures or sets are made at once; a text of 5 words takes as many registers as a long one.
 SIGN_BYTES = 1_000_000
 SHINGLE_BASE = 0xC6A4A7935BD1E995
 
@@ -118,7 +118,7 @@ def signatures(docs: DataFrame, n: int = BANDS, rows: int = ROWS, weights: Calla
                 own = [b.column(c).slice(i, j - i) for c in ("id", "text_hash")]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(nodes, pa.binary()), lists], ["id", "text_hash", "node", "bands"])
 
-    return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, text_hash long, node binary, bands array<long>")
+    return docs.mapInArrow(trimmed(run), f"id {dict(docs.dtypes)['id']}, text_hash long, node binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for part0 in small(b):
                 texts = pa.array(unpack(part0.column("packed").to_pylist()), pa.large_binary())
                 nodes = part0.column("node").to_pylist()
-                for i, j, data, off in slices(*flat(texts)):
+                for i, j, data, off in slices(*flat(texts), SIGN_BYTES):
                     keys, _, sizes = shingles(Words(data, off))
                     ends = np.cumsum(sizes)
                     raw = data.tobytes()
@@ -146,11 +146,11 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.binary()) for c in (0, 1)], ["node", "shingles"])
 
-    packed = docs.select("id", "text_hash", "text").mapInArrow(pack_texts, f"id {kind}, text_hash long, packed binary")
+    packed = docs.select("id", "text_hash", "text").mapInArrow(trimmed(pack_texts), f"id {kind}, text_hash long, packed binary")
     # the hash as well: texts with null or repeated ids would all meet each other
     same = (packed.text_hash == wanted.wanted_hash) & packed.id.eqNullSafe(wanted.wanted_id)
     met = packed.join(wanted, same).select("node", "packed")
-    found = met.mapInArrow(run, "node binary, shingles binary")
+    found = met.mapInArrow(trimmed(run), "node binary, shingles binary")
     # an id that comes twice with one text gives the same set twice
     return cut_lineage(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "near-sets")
 

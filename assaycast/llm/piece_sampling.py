@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaycast.llm.text import GOLDEN, U, mix, powers, small
+from assaycast.llm.text import GOLDEN, U, mix, powers, small, trimmed
 
 SPACE = "▁"
 CODE_BASE = 0xD6E8FEB86659FD93
@@ -235,4 +235,4 @@ def sample_pieces(
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in along), lists, pa.array(n), pa.array(same)], [*along, "ids", "n_pieces", "lossless"])
 
-    return rows.mapInArrow(run, f"{schema}, ids array<int>, n_pieces long, lossless boolean")
+    return rows.mapInArrow(trimmed(run), f"{schema}, ids array<int>, n_pieces long, lossless boolean")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaycast.llm.text import U, Spans, Words, flat, gram_hash, mix, pack, slices, small, text_slices, unpack
+from assaycast.llm.text import U, Spans, Words, flat, gram_hash, mix, pack, slices, small, text_slices, trimmed, unpack
 from assaycast.sources.tables import cut_lineage
 
 LENGTH, SEED = 20, 8
@@ -149,7 +149,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
         if size:
             yield _batch(settle(*map(np.concatenate, zip(*held))))
 
-    runs = docs.mapInArrow(run, "key long, around long, doc long, loc long, n int, kind byte")
+    runs = docs.mapInArrow(trimmed(run), "key long, around long, doc long, loc long, n int, kind byte")
     w = Window.partitionBy("key")
     place = F.struct("doc", "loc")
     single = F.col("kind") == SINGLE
@@ -247,7 +247,7 @@ def remove_repeats(
                 packed = pack([raw[a:z] for a, z in zip(off[:-1], off[1:])])
                 yield pa.RecordBatch.from_arrays([part.column("row"), ids, pa.array(text_tags(w)), pa.array(packed, pa.binary())], ["row", "doc", "tag", "packed"])
 
-    packed = rows.mapInArrow(pack_rows, f"row {kind_of_row}, doc long, tag long, packed binary")
+    packed = rows.mapInArrow(trimmed(pack_rows), f"row {kind_of_row}, doc long, tag long, packed binary")
     met = packed.join(per_doc, ["doc", "tag"], "left").select("row", "doc", "tag", "packed", "runs")
     result = "n_words long, n_removed long, kept_sha256 string, kept_text string"
     names = ["row", "n_words", "n_removed", "kept_sha256", "kept_text", "doc", "tag", "packed", "runs", "window"]
@@ -320,7 +320,7 @@ def remove_repeats(
                     yield pa.RecordBatch.from_arrays([*none, window], names)
 
     schema = f"row {kind_of_row}, {result}, doc long, tag long, packed binary, runs {runs_type}, window struct<a:bigint,b:bigint,doc:bigint,loc:bigint>"
-    looked = cut_lineage(met.mapInArrow(look, schema), "substring-looked")
+    looked = cut_lineage(met.mapInArrow(trimmed(look), schema), "substring-looked")
     windows = looked.where("window is not null").select("window.*")
     w = Window.partitionBy("a", "b")
     place = F.struct("doc", "loc")
@@ -347,5 +347,5 @@ def remove_repeats(
                     cols = finished(part, w, removed, data.tobytes())
                     yield pa.RecordBatch.from_arrays([part.column("row"), *[pa.array(c, t) for c, t in zip(cols, types)]], names[:5])
 
-    last = waiting.mapInArrow(finish, f"row {kind_of_row}, {result}")
+    last = waiting.mapInArrow(trimmed(finish), f"row {kind_of_row}, {result}")
     return looked.where("n_words is not null").select(*names[:5]).unionByName(last)
