@@ -47,3 +47,18 @@ def test_gram_hash_is_the_polynomial():
 def test_packing_goes_back(odd_texts):
     raw = [None if t is None else t.encode() for t in odd_texts]
     assert tx.unpack(tx.pack(raw)) == [r or b"" for r in raw]
+
+
+def test_trimmed_passes_every_batch_and_trims_after_the_last(monkeypatch):
+    seen = []
+    monkeypatch.setattr(tx, "trim", lambda: seen.append("trim"))
+
+    def double(batches):
+        for b in batches:
+            seen.append(b)
+            yield 2 * b
+
+    assert list(tx.trimmed(double)(iter([1, 2]))) == [2, 4]
+    assert seen == [1, 2, "trim"]
+    monkeypatch.undo()
+    tx.trim()
